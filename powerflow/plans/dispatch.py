@@ -47,7 +47,10 @@ DE_CAPACITY = "region string, year_start timestamp, Solar double"
 
 @dataclass(frozen=True)
 class FeedRun:
-    """One run of a feed: where its files are, the clock and the options of the country."""
+    """One run of a feed: where its files are, the clock and the options of the country.
+
+    With ``lines`` every line of a landed file is one response; otherwise the whole file is.
+    """
 
     spark: SparkSession
     landing: str
@@ -58,10 +61,14 @@ class FeedRun:
     weights: object = None
     potential: bool = False
     forecast_type: str = "day_ahead"
+    lines: bool = False
 
     def path(self, *parts: str) -> str:
         return "/".join([self.landing.rstrip("/"), *parts])
 
+    def documents(self, *parts: str, since: datetime | None = None) -> DataFrame:
+        return read_documents(self.spark, self.path(*parts), since, whole=not self.lines)
+
 
 def _gb_generation(run: FeedRun) -> DataFrame:
     raw = run.spark.read.schema(RAW_GSP).parquet(run.path("gb", "generation"))
@@ -87,7 +94,7 @@ def _gb_forecast(run: FeedRun) -> DataFrame:
 
 def _nl_generation(run: FeedRun) -> DataFrame:
     start, _ = feed_window("nl_generation", run.now)
-    raw = read_documents(run.spark, run.path("nl", "generation"), start)
+    raw = run.documents("nl", "generation", since=start)
     if not run.potential:
         return nl_generation(raw, run.now)
     prices = run.path("nl", "prices")
@@ -97,18 +104,17 @@ def _nl_generation(run: FeedRun) -> DataFrame:
 
 
 def _nl_forecast(run: FeedRun) -> DataFrame:
-    return nl_forecast(read_documents(run.spark, run.path("nl", "forecast")), run.now)
+    return nl_forecast(run.documents("nl", "forecast"), run.now)
 
 
 def _be_generation(run: FeedRun) -> DataFrame:
     start, _ = feed_window("be", run.now, run.backfill_hours)
-    raw = read_documents(run.spark, run.path("be", "generation"), start)
+    raw = run.documents("be", "generation", since=start)
     return be_generation(raw, run.now, run.backfill_hours)
 
 
 def _be_forecast(run: FeedRun) -> DataFrame:
-    raw = read_documents(run.spark, run.path("be", "forecast"))
-    return be_forecast(raw, run.now, run.backfill_hours)
+    return be_forecast(run.documents("be", "forecast"), run.now, run.backfill_hours)
 
 
 def _wide_csv(run: FeedRun, *parts: str) -> DataFrame:
@@ -139,8 +145,7 @@ def _de_forecast(run: FeedRun) -> DataFrame:
 
 
 def _ind_generation(run: FeedRun) -> DataFrame:
-    raw = read_documents(run.spark, run.path("ind_rajasthan", "generation"))
-    return ind_generation(raw, run.now)
+    return ind_generation(run.documents("ind_rajasthan", "generation"), run.now)
 
 
 FEEDS: dict[tuple[str, str], Callable[[FeedRun], DataFrame]] = {

@@ -62,7 +62,7 @@ def config_table(spark: SparkSession, rows: Sequence[dict], schema: str) -> Data
         return spark.createDataFrame([], schema)
     struct = T.StructType.fromDDL(schema)
     columns = [{name: row.get(name) for name in struct.fieldNames()} for row in rows]
-    table = pa.Table.from_pylist(columns, schema=to_arrow_schema(struct, timezone="UTC"))
+    table = pa.Table.from_pylist(columns, schema=to_arrow_schema(struct))
     return spark.createDataFrame(table, schema=struct)
 
 

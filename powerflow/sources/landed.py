@@ -15,11 +15,12 @@ from powerflow.schemas import EMPTY_FEED, GB_FORECAST_RECORD, RESOURCE_RECORD
 
 
 def read_documents(
-    spark: SparkSession, path: str, modified_after: datetime | None = None
+    spark: SparkSession, path: str, modified_after: datetime | None = None, whole: bool = True
 ) -> DataFrame:
-    """One row per landed response file: its text as ``document`` plus the folder's partitions.
+    """One row per landed response: its text as ``document`` plus the folder's partitions.
 
     A file is one API response, which the provider pages or limits to a day, so it stays small.
+    When responses are landed one per line (not ``whole``), files may have any size and are split.
     Files last modified before ``modified_after`` are not opened: a measurement cannot land before
     it was taken, so a look-back window never needs older files.
     """
@@ -27,7 +28,7 @@ def read_documents(
     if modified_after is not None:
         stamp = modified_after.strftime("%Y-%m-%dT%H:%M:%S")
         reader = reader.option("modifiedAfter", stamp).option("timeZone", "UTC")
-    return reader.text(path, wholetext=True).withColumnRenamed("value", "document")
+    return reader.text(path, wholetext=whole).withColumnRenamed("value", "document")
 
 
 def _envelope(path: str, record: str) -> tuple[T.DataType, list[str], list[str]]:
