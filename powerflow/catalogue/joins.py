@@ -155,12 +155,12 @@ def missing_members(spark, sf_dir):
 
 @query(
     "set_difference",
-    """SELECT c_nationkey AS nation FROM customer EXCEPT SELECT s_nationkey FROM supplier""",
+    "SELECT o_custkey AS user_id FROM orders EXCEPT SELECT user_id FROM events",
 )
 def set_difference(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"))
-    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"))
-    return op.set_difference(customers, suppliers, "nation")
+    """Customers that order but never report."""
+    ordering = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
+    return op.set_difference(ordering, table(spark, sf_dir, "events"), "user_id")
 
 
 @query(

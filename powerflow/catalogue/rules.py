@@ -91,7 +91,7 @@ def partition_flags(spark, sf_dir):
 
 
 SETTLING = """settling AS (
-    SELECT event_id, event_type, ts::DATE AS request_date, ts AS validto,
+    SELECT event_id, location_id, ts::DATE AS request_date, ts AS validto,
            ts + to_minutes(pct) AS lastupdate FROM obs)"""
 
 
@@ -99,7 +99,7 @@ def settling(spark, sf_dir):
     minutes = F.make_dt_interval(mins=F.col("pct"))
     return observations(spark, sf_dir).select(
         "event_id",
-        "event_type",
+        "location_id",
         F.to_date("ts").alias("request_date"),
         F.col("ts").alias("validto"),
         (F.col("ts") + minutes).alias("lastupdate"),
@@ -108,26 +108,26 @@ def settling(spark, sf_dir):
 
 @query(
     "trim_unsettled",
-    """SELECT event_id, event_type, validto FROM (
-           SELECT *, max(lastupdate) OVER (PARTITION BY request_date, event_type) AS latest
+    """SELECT event_id, location_id, validto FROM (
+           SELECT *, max(lastupdate) OVER (PARTITION BY request_date, location_id) AS latest
            FROM settling) WHERE validto < latest - INTERVAL 15 MINUTE""",
     OBS,
     SETTLING,
 )
 def trim_unsettled(spark, sf_dir):
-    rows = op.trim_unsettled(settling(spark, sf_dir), ["request_date", "event_type"])
-    return rows.select("event_id", "event_type", "validto")
+    rows = op.trim_unsettled(settling(spark, sf_dir), ["request_date", "location_id"])
+    return rows.select("event_id", "location_id", "validto")
 
 
 @query(
     "batch_max",
-    """SELECT event_id, max(lastupdate) OVER (PARTITION BY request_date, event_type) AS batch_max
+    """SELECT event_id, max(lastupdate) OVER (PARTITION BY request_date, location_id) AS batch_max
        FROM settling""",
     OBS,
     SETTLING,
 )
 def batch_max(spark, sf_dir):
-    rows = op.batch_max(settling(spark, sf_dir), ["request_date", "event_type"], "lastupdate")
+    rows = op.batch_max(settling(spark, sf_dir), ["request_date", "location_id"], "lastupdate")
     return rows.select("event_id", "batch_max")
 
 

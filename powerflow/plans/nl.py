@@ -5,6 +5,7 @@ Landed documents carry the request they answer: ``region_id`` and ``request_date
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -31,7 +32,7 @@ def nl_records(raw: DataFrame) -> DataFrame:
     return flat.withColumns(times)
 
 
-def nl_delivered(records: DataFrame, region_ids: list[int] = NL_REGION_IDS) -> DataFrame:
+def nl_delivered(records: DataFrame, region_ids: Sequence[int]) -> DataFrame:
     """Capacity from the percentage, delivered columns and the capacity check."""
     totals = flag_small_percentage(records).withColumns(
         {
@@ -43,20 +44,30 @@ def nl_delivered(records: DataFrame, region_ids: list[int] = NL_REGION_IDS) -> D
     return validate_capacity(canonical_schema(totals, "nl"), region_ids)
 
 
-def _windowed(records: DataFrame, feed: str, now: datetime | str) -> DataFrame:
+def _windowed(records: DataFrame, feed: str, now: datetime | str | None) -> DataFrame:
+    if now is None:
+        return records
     start, end = feed_window(feed, now)
     return time_window(records, "validfrom", start, end)
 
 
 def nl_generation(
-    raw: DataFrame, now: datetime | str, prices: DataFrame | None = None
+    raw: DataFrame,
+    now: datetime | str | None,
+    prices: DataFrame | None = None,
+    region_ids: Sequence[int] = NL_REGION_IDS,
 ) -> DataFrame:
-    """Settled generation of the last two days; with prices also the potential generation."""
+    """Settled generation since yesterday; with prices also the potential generation.
+
+    Without ``now`` everything that has landed.
+    """
     settled = trim_unsettled(nl_records(raw), BATCH)
-    delivered = nl_delivered(_windowed(settled, "nl_generation", now))
+    delivered = nl_delivered(_windowed(settled, "nl_generation", now), region_ids)
     return delivered if prices is None else potential_generation(delivered, prices)
 
 
-def nl_forecast(raw: DataFrame, now: datetime | str) -> DataFrame:
+def nl_forecast(
+    raw: DataFrame, now: datetime | str | None, region_ids: Sequence[int] = NL_REGION_IDS
+) -> DataFrame:
     """National forecast from two hours back to seven days ahead."""
-    return nl_delivered(_windowed(nl_records(raw), "nl_forecast", now))
+    return nl_delivered(_windowed(nl_records(raw), "nl_forecast", now), region_ids)
