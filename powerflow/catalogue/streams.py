@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from powerflow.catalogue.inputs import FACTS, HOME, LOC, OBS, REG, locations, registry, table
+from powerflow.catalogue.inputs import FACTS, HOME, LOC, OBS, REG, TABLES, locations, registry
 from powerflow.catalogue.registry import query
 from powerflow.catalogue.rules import SETTLING
 from powerflow.catalogue.stores import JOINED
@@ -21,8 +21,7 @@ from powerflow.streaming import (
 
 def landed_events(spark, sf_dir):
     """The events table as a stream. A pattern, because the table may be one file or a folder."""
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    return spark.readStream.schema(TABLES["events"]).parquet(f"{sf_dir}/events.parquet*")
 
 
 @query(

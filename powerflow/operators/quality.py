@@ -65,6 +65,16 @@ def drop_null_unless_all_null(
     return counted.filter(F.col(value).isNotNull() | (F.col("_known") == 0)).drop("_known")
 
 
+def apply_area_flags(flagged: DataFrame, generation: str = "generation_mw") -> DataFrame:
+    """Zero rule and missing-value rule on rows that carry the flags of ``partition_flags``."""
+    value = F.when(F.col("no_capacity"), F.lit(0.0)).otherwise(F.col(generation))
+    return (
+        flagged.withColumn(generation, value)
+        .filter(F.col(generation).isNotNull() | F.col("no_generation"))
+        .drop("no_capacity", "no_generation")
+    )
+
+
 def settle_areas(
     df: DataFrame,
     key: str | Sequence[str],
@@ -76,13 +86,7 @@ def settle_areas(
     An area without capacity has no missing generation left after the zero rule, so both flags can
     be taken from the raw rows.
     """
-    value = F.when(F.col("no_capacity"), F.lit(0.0)).otherwise(F.col(generation))
-    return (
-        partition_flags(df, key, generation, capacity)
-        .withColumn(generation, value)
-        .filter(F.col(generation).isNotNull() | F.col("no_generation"))
-        .drop("no_capacity", "no_generation")
-    )
+    return apply_area_flags(partition_flags(df, key, generation, capacity), generation)
 
 
 def trim_unsettled(

@@ -11,7 +11,7 @@ from powerflow.functions.naming import canonical_schema, normalise_key, tag_cons
 from powerflow.functions.times import parse_iso_utc
 from powerflow.functions.units import mw_to_kw
 from powerflow.operators.quality import drop_incomplete
-from powerflow.schemas import BE_RECORD, FEEDS
+from powerflow.schemas import FEEDS
 from powerflow.sources.landed import flatten_records
 from powerflow.sources.windows import feed_window, time_window
 
@@ -21,7 +21,9 @@ NATIONAL = "belgium"
 def _be_feed(
     raw: DataFrame, value: str, kind: str, now: datetime | str | None, hours: float | None
 ) -> DataFrame:
-    records = flatten_records(raw, "results[]", BE_RECORD)
+    # only the measure that is delivered is parsed out of the documents
+    record = f"datetime string, region string, {value} double, monitoredcapacity double"
+    records = flatten_records(raw, "results[]", record)
     converted = tag_constants(
         records.select(
             parse_iso_utc(F.col("datetime")).alias("target_datetime_utc"),

@@ -11,7 +11,7 @@ from powerflow.functions.naming import canonical_schema, tag_constants
 from powerflow.functions.times import parse_date_time
 from powerflow.functions.units import missing_as_null, mw_to_kw
 from powerflow.operators.matching import exclude_merge_targets, union_feeds
-from powerflow.operators.quality import settle_areas, zero_gen_when_no_capacity
+from powerflow.operators.quality import apply_area_flags, partition_flags, settle_areas
 from powerflow.operators.reconstruction import MEASURES, reconstruct_weighted
 from powerflow.settings import GB_MAX_ID
 from powerflow.sources.dimensions import cap_ids, list_active_ids
@@ -20,17 +20,27 @@ from powerflow.sources.windows import feed_window, time_window
 REGIMES = ("in-day", "day-after")
 
 
-def process_gsp(df: DataFrame, regime: str) -> DataFrame:
-    """Quality rules, units and delivered columns, for all grid areas at once."""
+def _check_regime(regime: str) -> None:
     if regime not in REGIMES:
         raise ValueError(f"unknown regime {regime!r}, expected one of {REGIMES}")
+
+
+def delivered(settled: DataFrame, regime: str) -> DataFrame:
+    """Settled area rows in kW with the delivered columns."""
     kw = {
         "solar_generation_kw": mw_to_kw(F.col("generation_mw")),
         "capacity_kw": mw_to_kw(F.col("capacity_mwp")),
         "capacity_no_degradation_kw": mw_to_kw(F.col("installedcapacity_mwp")),
     }
-    settled = settle_areas(df, "gsp_id").withColumns(kw)
-    return canonical_schema(tag_constants(settled, regime=regime), "gb_generation")
+    return canonical_schema(
+        tag_constants(settled.withColumns(kw), regime=regime), "gb_generation"
+    )
+
+
+def process_gsp(df: DataFrame, regime: str) -> DataFrame:
+    """Quality rules, units and delivered columns, for all grid areas at once."""
+    _check_regime(regime)
+    return delivered(settle_areas(df, "gsp_id"), regime)
 
 
 def gb_generation(
@@ -45,25 +55,27 @@ def gb_generation(
     """Live areas directly plus retired areas rebuilt from their sources.
 
     The maximum id applies to both, but not to the sources. A source that is also delivered
-    directly enters the sums after its own zero-capacity rule.
+    directly enters the sums after its own zero-capacity rule, so both parts share the flags of
+    the raw rows.
     """
-    if regime not in REGIMES:
-        raise ValueError(f"unknown regime {regime!r}, expected one of {REGIMES}")
+    _check_regime(regime)
     start, end = feed_window(f"gb_{regime}", now, backfill_hours)
     rows = time_window(raw, "datetime_gmt", start, end).withColumns(
         {name: missing_as_null(F.col(name)) for name in MEASURES}
     )
-    direct_ids = exclude_merge_targets(list_active_ids(registry, max_id), weights)
-    direct = rows.join(direct_ids, "gsp_id", "left_semi")
+    live = exclude_merge_targets(list_active_ids(registry, max_id), weights)
+    flagged = partition_flags(rows, "gsp_id", "generation_mw", "capacity_mwp").join(
+        live.withColumn("is_direct", F.lit(True)), "gsp_id", "left"
+    )
+    direct = apply_area_flags(flagged.filter("is_direct")).drop("is_direct")
 
-    targets = cap_ids(weights, max_id, "target")
-    source_ids = targets.select(F.col("source").alias("gsp_id")).distinct()
-    sources = rows.join(source_ids, "gsp_id", "left_semi")
-    indirect = sources.join(direct_ids, "gsp_id", "left_anti")
-    shared = zero_gen_when_no_capacity(sources.join(direct_ids, "gsp_id", "left_semi"), "gsp_id")
-    rebuilt = reconstruct_weighted(union_feeds(indirect, shared), targets)
+    zeroed = F.col("is_direct") & F.col("no_capacity")
+    sources = flagged.withColumn(
+        "generation_mw", F.when(zeroed, F.lit(0.0)).otherwise(F.col("generation_mw"))
+    )
+    rebuilt = reconstruct_weighted(sources, cap_ids(weights, max_id, "target"))
 
-    return process_gsp(union_feeds(direct, rebuilt), regime)
+    return union_feeds(delivered(direct, regime), process_gsp(rebuilt, regime))
 
 
 def gb_forecast(raw: DataFrame) -> DataFrame:

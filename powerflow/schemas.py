@@ -8,8 +8,8 @@ TAGGED_MAP = "map<string,struct<number_value:double,string_value:string>>"
 CONTRACT = ("target_datetime_utc", "solar_generation_kw")
 
 # Records inside landed JSON documents
+# (the ids and codes of a Dutch record are not delivered and not parsed)
 NL_RECORD = (
-    "id bigint, point string, type int, granularity int, activity int, classification int, "
     "capacity double, volume double, percentage double, "
     "validfrom string, validto string, lastupdate string"
 )
@@ -17,10 +17,7 @@ BE_RECORD = (
     "datetime string, region string, realtime double, mostrecentforecast double, "
     "measured double, monitoredcapacity double"
 )
-IND_RECORD = (
-    "record string, Key string, Average2 double, SourceTimeSec string, "
-    "scada_name string, type string"
-)
+IND_RECORD = "Average2 double, SourceTimeSec string, scada_name string"
 GB_FORECAST_RECORD = "DATE_GMT string, TIME_GMT string, EMBEDDED_SOLAR_FORECAST double"
 RESOURCE_RECORD = "path string"
 
