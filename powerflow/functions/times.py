@@ -30,8 +30,9 @@ def parse_date_time(date_col: Column, time_col: Column) -> Column:
 
 
 def parse_iso_utc(col: Column) -> Column:
-    """ISO-8601 text, with or without an offset; anything invalid gives NULL."""
-    return F.try_to_timestamp(col)
+    """ISO-8601 text, with or without an offset or seconds; anything invalid gives NULL."""
+    without_seconds = F.try_to_timestamp(col, F.lit("yyyy-MM-dd'T'HH:mmXXX"))
+    return F.coalesce(F.try_to_timestamp(col), without_seconds)
 
 
 def epoch_to_utc(col: Column) -> Column:

@@ -8,7 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from powerflow.functions.units import kw_to_watts
-from powerflow.operators.grouping import first_per_key, latest_per_location, with_group_values
+from powerflow.operators.grouping import (
+    columns_of,
+    first_per_key,
+    latest_per_location,
+    with_group_values,
+)
 
 BITS = 62
 
@@ -144,7 +149,7 @@ def validate_capacity(
     trusted = _each_exactly_once(F.col(region), expected_ids) & _is_close(regional, national, rtol)
     verdicts = known.groupBy(ts).agg(trusted.alias("_trusted"))
     flag = F.col("update_capacity") if "update_capacity" in df.columns else F.lit(True)
-    checked = df.join(verdicts, ts, "left")
+    checked = df.join(verdicts, ts, "left").select(*columns_of(df), "_trusted")
     return checked.withColumn(
         "update_capacity",
         F.coalesce(flag, F.lit(True)) & F.coalesce(F.col("_trusted"), F.lit(False)),

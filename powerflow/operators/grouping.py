@@ -19,13 +19,18 @@ def as_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of a frame in order, for a select after a join that moved its keys."""
+    return [F.col(f"`{name}`") for name in df.columns]
+
+
 def with_group_values(
     df: DataFrame, keys: str | Sequence[str], values: Mapping[str, Column]
 ) -> DataFrame:
     """Add per-key aggregates to every row of the key."""
     keys = as_list(keys)
     totals = df.groupBy(*keys).agg(*[col.alias(name) for name, col in values.items()])
-    return df.join(totals, keys, "left")
+    return df.join(totals, keys, "left").select(*columns_of(df), *values)
 
 
 def first_per_key(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from powerflow.functions.metadata import metadata_value
 from powerflow.functions.naming import normalise_key
-from powerflow.operators.grouping import as_list
+from powerflow.operators.grouping import as_list, columns_of
 from powerflow.operators.quality import drop_zero_capacity
 from powerflow.settings import CountryProfile
 
@@ -89,7 +89,8 @@ def join_prices(
     df: DataFrame, prices: DataFrame, ts: str = "target_datetime_utc"
 ) -> DataFrame:
     """Generation with the price of the same timestamp, if there is one."""
-    return df.join(prices, ts, "left")
+    others = [name for name in prices.columns if name != ts]
+    return df.join(prices, ts, "left").select(*columns_of(df), *others)
 
 
 def drop_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
