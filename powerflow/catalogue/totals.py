@@ -234,11 +234,12 @@ def validate_capacity(spark, sf_dir):
 @query(
     "collect_observations",
     """SELECT user_id, date_trunc('hour', ts) AS slot_start, CAST(0 AS INT) AS part,
-              CAST(count(*) AS INT) AS n_values,
-              CAST(trunc(arg_min(value, ts) * 1000) AS BIGINT) AS first_watts,
-              string_agg(CAST(CAST(trunc(value * 1000) AS BIGINT) AS VARCHAR), ','
-                         ORDER BY ts, value) AS watts
-       FROM events GROUP BY ALL""",
+              CAST(count(*) AS INT) AS n_values, CAST(sum(copies) AS BIGINT) AS n_rows,
+              arg_min(watts, ts) AS first_watts,
+              string_agg(CAST(watts AS VARCHAR), ',' ORDER BY ts, watts) AS watts
+       FROM (SELECT user_id, ts, CAST(trunc(value * 1000) AS BIGINT) AS watts, count(*) AS copies
+             FROM events GROUP BY ALL)
+       GROUP BY ALL""",
 )
 def collect_observations(spark, sf_dir):
     """Ordered payloads per location and hour."""
@@ -246,15 +247,17 @@ def collect_observations(spark, sf_dir):
         "user_id", "ts", kw_to_watts(F.col("value")).alias("watts")
     )
     payloads = op.collect_observations(rows, ["user_id"], "ts", "watts")
+    watts = F.transform("values", lambda v: v.getField("watts").cast("string"))
+    copies = F.transform("values", lambda v: v.getField("copies"))
+    total = F.aggregate(copies, F.lit(0).cast("bigint"), lambda a, b: a + b)
     return payloads.select(
         "user_id",
         "slot_start",
         "part",
         F.size("values").alias("n_values"),
+        total.alias("n_rows"),
         F.element_at("values", 1).getField("watts").alias("first_watts"),
-        F.array_join(
-            F.transform("values", lambda v: v.getField("watts").cast("string")), ","
-        ).alias("watts"),
+        F.array_join(watts, ",").alias("watts"),
     )
 
 

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def only(col: Column) -> Column:
+    """Aggregate: the single value of a cell; a cell that occurs twice is an error."""
+    twice = F.raise_error(F.lit("a location has several rows for one time"))
+    return F.when(F.count(F.lit(1)) > 1, twice).otherwise(F.max(col))
+
+
 def pivot_cube(
     df: DataFrame,
     ts: str,
     key: str,
     values: Sequence[str],
     ids: Sequence,
-    agg=F.first,
+    agg=only,
 ) -> DataFrame:
     """One row per time, one column per location and value, named ``<id>_<value>``.
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from powerflow.functions.metadata import metadata_value
 from powerflow.functions.naming import normalise_key
@@ -65,14 +66,23 @@ def unmatched_keys(df: DataFrame, loc: DataFrame, profile: CountryProfile) -> Da
     return keys.join(registry_key(loc, profile), "join_key", "left_anti").select(profile.id_key)
 
 
+def distinct_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the right side of an anti join, once each.
+
+    The adaptive skew join can split the left side only. Distinct keys are combined before the
+    same shuffle the join needs, so a key with many copies on the right costs one row per task.
+    """
+    return df.select(*keys).distinct()
+
+
 def missing_members(required: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Required dimension members that are not there yet."""
-    return required.join(present, key, "left_anti")
+    return required.join(distinct_of(present, [key]), key, "left_anti")
 
 
 def set_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``a`` that ``b`` does not have."""
-    return a.select(key).distinct().join(b, key, "left_anti")
+    return a.select(key).distinct().join(distinct_of(b, [key]), key, "left_anti")
 
 
 def registry_equality(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -99,7 +109,7 @@ def drop_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Da
     All key columns are compared together, so a time stored for one location does not suppress
     another location.
     """
-    return df.join(existing.select(*keys), list(keys), "left_anti")
+    return df.join(distinct_of(existing, keys), list(keys), "left_anti")
 
 
 def join_name_map(df: DataFrame, names: DataFrame, left: str, right: str) -> DataFrame:
@@ -127,5 +137,11 @@ def union_feeds(*frames: DataFrame) -> DataFrame:
 
 
 def order_output(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
-    """Sort for delivery. Only sinks need it; nothing upstream relies on order."""
-    return df.orderBy(*as_list(cols))
+    """Sort for delivery. Only sinks need it; nothing upstream relies on order.
+
+    The other columns break ties, which makes the order reproducible and lets the range
+    partitioning split a timestamp that many rows share.
+    """
+    cols = as_list(cols)
+    sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return df.orderBy(*cols, *[F.col(f"`{n}`") for n in sortable if n not in cols])

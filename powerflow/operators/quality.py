@@ -156,7 +156,7 @@ def daily_grid(
 ) -> DataFrame:
     """Every step of [start, end] for every id.
 
-    Steps are generated per day, so no row ever carries the whole range.
+    Steps are generated per day, so no row ever carries the whole range; the step divides a day.
     """
     first, last = utc_literal(start), utc_literal(end)
     days = F.sequence(
@@ -180,7 +180,10 @@ def grid_completeness(
     step: str,
     ts: str = "target_datetime_utc",
 ) -> DataFrame:
-    """Expected (id, time) cells, both ends included, that the facts do not have."""
+    """Expected (id, time) cells, both ends included, that the facts do not have.
+
+    The facts are reduced to their distinct cells before the shuffle.
+    """
     keys = [*ids.columns, ts]
-    expected = daily_grid(ids, start, end, step, ts)
-    return expected.join(df.select(*ids.columns, F.col(ts).cast("timestamp_ntz")), keys, "left_anti")
+    cells = df.select(*ids.columns, F.col(ts).cast("timestamp_ntz").alias(ts)).distinct()
+    return daily_grid(ids, start, end, step, ts).join(cells, keys, "left_anti")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from powerflow.operators.grouping import as_list
+from powerflow.operators.grouping import as_list, with_group_values
 
 
 def time_extent(
@@ -46,17 +46,26 @@ def collect_observations(
     watts: str = "value_watts",
     max_values: int = 1000,
 ) -> DataFrame:
-    """Payloads of time-ordered (time, watts) values per location, source and observer.
+    """Payloads of time-ordered values (time, watts, copies) per location, source and observer.
 
-    A location's history has no upper size, so a payload covers at most one hour and at most
-    ``max_values`` values; ``part`` counts further payloads of the same hour.
+    A location's history has no upper size, so a payload covers one hour, and an hour with more
+    than ``max_values`` values is spread over several payloads of about that size (``part``).
+    Identical values are one entry with its number of copies; they are counted before the shuffle,
+    so a value repeated without end is no larger than any other.
     """
     slot = [*keys, "slot_start"]
-    ordered = Window.partitionBy(*slot).orderBy(ts, watts)
-    place = F.row_number().over(ordered) - 1
     hour = F.date_trunc("hour", ts).cast(df.schema[ts].dataType)
-    numbered = df.withColumn("slot_start", hour).withColumn(
-        "part", F.floor(place / max_values).cast("int")
+    values = (
+        df.withColumn("slot_start", hour)
+        .groupBy(*slot, F.col(ts).alias("_ts"), F.col(watts).alias("_watts"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    values = F.sort_array(F.collect_list(F.struct(F.col(ts).alias("ts"), F.col(watts).alias("watts"))))
-    return numbered.groupBy(*slot, "part").agg(values.alias("values"))
+    parts = F.ceil(F.col("_n") / max_values)
+    numbered = with_group_values(values, slot, {"_n": F.count(F.lit(1))}).withColumn(
+        "part", F.pmod(F.xxhash64("_ts", "_watts"), parts).cast("int")
+    )
+    entry = F.struct(
+        F.col("_ts").alias("ts"), F.col("_watts").alias("watts"), F.col("_copies").alias("copies")
+    )
+    payload = F.sort_array(F.collect_list(entry)).alias("values")
+    return numbered.groupBy(*slot, "part").agg(payload)

@@ -16,22 +16,39 @@ from powerflow.functions.times import parse_iso_utc
 from powerflow.functions.units import capacity_from_percentage
 from powerflow.operators.capacity import validate_capacity
 from powerflow.operators.curtailment import potential_generation
-from powerflow.operators.quality import flag_small_percentage, trim_unsettled
+from powerflow.operators.quality import flag_small_percentage
 from powerflow.schemas import NL_RECORD
 from powerflow.settings import NL_REGION_IDS
-from powerflow.sources.landed import flatten_records
+from powerflow.sources.landed import records_array
 from powerflow.sources.windows import feed_window, time_window
 
-BATCH = ("request_date", "region_id")
+REQUEST = ("request_date", "region_id")
 
 
 def nl_records(raw: DataFrame) -> DataFrame:
-    """Records of the landed documents with parsed times."""
-    flat = flatten_records(raw, "hydra:member[]", NL_RECORD, keep=BATCH)
+    """Records of the landed documents with parsed times.
+
+    ``response_update`` is the latest update within the response a record came with.
+    """
+    records = raw.select(
+        *REQUEST, records_array(F.col("document"), "hydra:member[]", NL_RECORD).alias("records")
+    )
+    latest = F.array_max(
+        F.transform("records", lambda record: parse_iso_utc(record.getField("lastupdate")))
+    )
+    flat = records.select(*REQUEST, latest.alias("response_update"), F.inline("records"))
     times = {n: parse_iso_utc(F.col(n)) for n in ("validfrom", "validto", "lastupdate")}
     return flat.withColumns(times)
 
 
+def settled_records(records: DataFrame, lag: str = "15 minutes") -> DataFrame:
+    """Records that ended more than ``lag`` before the latest update of their response.
+
+    A response is one landed document, so the rule needs no shuffle.
+    """
+    return records.filter(F.col("validto") < F.col("response_update") - F.expr(f"INTERVAL {lag}"))
+
+
 def nl_delivered(records: DataFrame, region_ids: Sequence[int]) -> DataFrame:
     """Capacity from the percentage, delivered columns and the capacity check."""
     totals = flag_small_percentage(records).withColumns(
@@ -61,7 +78,7 @@ def nl_generation(
 
     Without ``now`` everything that has landed.
     """
-    settled = trim_unsettled(nl_records(raw), BATCH)
+    settled = settled_records(nl_records(raw))
     delivered = nl_delivered(_windowed(settled, "nl_generation", now), region_ids)
     return delivered if prices is None else potential_generation(delivered, prices)
 

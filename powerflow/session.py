@@ -74,6 +74,6 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return f"{root.rstrip('/')}/powerflow/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     return os.path.join(tempfile.mkdtemp(prefix="powerflow-"), purpose)

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from powerflow.operators.matching import order_output
+
 CSV_NAME = "forecast_data.csv"
 ORM_COLUMN = "_sa_instance_state"
 
@@ -28,7 +30,7 @@ def write_csv(df: DataFrame, folder: str, order: Sequence[str] = ()) -> str | No
     path = f"{folder.rstrip('/')}/{CSV_NAME}"
     out = df.drop(ORM_COLUMN)
     if order:
-        out = out.orderBy(*order)
+        out = order_output(out, order)
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
 

@@ -348,15 +348,17 @@ def test_aggregated_series_is_preferred(frame):
 
 
 def test_payloads_are_bounded_and_ordered(frame):
-    data = [("a", T0 + timedelta(seconds=i), i) for i in range(25)] + [("a", T0 + timedelta(hours=1), 99), ("b", T0, 1)]
+    data = [("a", T0 + timedelta(seconds=i), i) for i in range(250)]
+    data += [("a", T0 + timedelta(hours=1), 99)] * 40 + [("b", T0 + timedelta(seconds=i), i) for i in (2, 1)]
     df = frame(data, "location_uuid string, timestamp_utc timestamp, value_watts bigint")
-    payloads = op.collect_observations(df, ["location_uuid"], max_values=10)
-    got = {(r["location_uuid"], r["slot_start"], r["part"]): [v["watts"] for v in r["values"]] for r in payloads.collect()}
-    assert got[("a", T0, 0)] == list(range(10))
-    assert got[("a", T0, 2)] == list(range(20, 25))
-    assert got[("a", T0 + timedelta(hours=1), 0)] == [99]
-    assert got[("b", T0, 0)] == [1]
-    assert sum(map(len, got.values())) == len(data)
+    payloads = op.collect_observations(df, ["location_uuid"], max_values=50).collect()
+    got = {(r["location_uuid"], r["slot_start"], r["part"]): [(v["watts"], v["copies"]) for v in r["values"]] for r in payloads}
+    assert got[("a", T0 + timedelta(hours=1), 0)] == [(99, 40)]
+    assert got[("b", T0, 0)] == [(1, 1), (2, 1)]
+    split = [values for (k, t, _), values in got.items() if (k, t) == ("a", T0)]
+    assert len(split) == 5
+    assert all(values == sorted(values) for values in split)
+    assert sorted(v for values in split for v in values) == [(i, 1) for i in range(250)]
 
 
 def test_summaries(frame):
@@ -372,6 +374,8 @@ def test_cube(frame):
     cube = op.pivot_cube(df, "t", "k", ["g", "c"], ["a", "b"])
     assert cube.columns == ["t", *op.cube_columns(["a", "b"], ["g", "c"])]
     assert rows(cube) == [(T0, 1.0, 2.0, None, None), (T1, None, None, 3.0, 4.0)]
+    with pytest.raises(Exception, match="several rows"):
+        op.pivot_cube(df.union(df), "t", "k", ["g", "c"], ["a", "b"]).collect()
 
 
 # --- dimensions -----------------------------------------------------------------------------------
