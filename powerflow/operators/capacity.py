@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from powerflow.functions.units import kw_to_watts
 from powerflow.operators.grouping import (
     columns_of,
+    fact_join,
     first_per_key,
     latest_per_location,
     with_group_values,
@@ -99,7 +100,7 @@ def complete_timestamps(df: DataFrame, expected_ids: Sequence[int], **names) ->
     """Rows of timestamps with a complete set of regions."""
     ts = names.get("ts", "target_datetime_utc")
     complete = region_set_complete(df, expected_ids, **names).filter("is_complete")
-    return df.join(complete, ts, "left_semi")
+    return fact_join(df, complete, ts, "left_semi")
 
 
 def regional_sum(
@@ -149,7 +150,7 @@ def validate_capacity(
     trusted = _each_exactly_once(F.col(region), expected_ids) & _is_close(regional, national, rtol)
     verdicts = known.groupBy(ts).agg(trusted.alias("_trusted"))
     flag = F.col("update_capacity") if "update_capacity" in df.columns else F.lit(True)
-    checked = df.join(verdicts, ts, "left").select(*columns_of(df), "_trusted")
+    checked = fact_join(df, verdicts, ts, "left").select(*columns_of(df), "_trusted")
     return checked.withColumn(
         "update_capacity",
         F.coalesce(flag, F.lit(True)) & F.coalesce(F.col("_trusted"), F.lit(False)),

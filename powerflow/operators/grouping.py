@@ -1,10 +1,8 @@
-"""Group facts without gathering a group.
+"""Group and join facts without gathering a group.
 
 A window partitioned by a key sends every row of that key to one task, which fails when one
 location holds a large part of the data. The helpers here aggregate first (partial aggregation
-leaves one row per key and task) and join the small result back; the fact side of that join may be
-split by the adaptive skew join, and no shuffle of it is needed when the result is small enough
-for Catalyst to broadcast it.
+leaves one row per key and task) and join the small result back with ``fact_join``.
 """
 
 from __future__ import annotations
@@ -24,13 +22,43 @@ def columns_of(df: DataFrame) -> list[Column]:
     return [F.col(f"`{name}`") for name in df.columns]
 
 
+def fact_join(
+    facts: DataFrame, other: DataFrame, keys: str | Sequence[str], how: str
+) -> DataFrame:
+    """Join whose fact side the adaptive skew join can split.
+
+    Spark splits a hot partition only when both sides of the join come straight from a shuffle.
+    An aggregated side usually does not: the join takes over the shuffle of its aggregate. The
+    hash of the keys as a further join key makes the join ask for a shuffle of its own, which for
+    an aggregated side is small. A side that Catalyst can broadcast is not shuffled either way.
+    """
+    keys = as_list(keys)
+    types = [[frame.schema[key].dataType for key in keys] for frame in (facts, other)]
+    if types[0] != types[1]:  # equal values of different types have different hashes
+        return facts.join(other, keys, how)
+    place = F.xxhash64(*keys)
+    placed = (frame.withColumn("_place", place) for frame in (facts, other))
+    left, right = placed
+    return left.join(right, ["_place", *keys], how).drop("_place")
+
+
+def anti_join(facts: DataFrame, other: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Facts whose key the other side does not have.
+
+    The other side is reduced to its distinct keys, combined before the shuffle, so copies of one
+    key on that side cost one row per task.
+    """
+    keys = as_list(keys)
+    return fact_join(facts, other.select(*keys).distinct(), keys, "left_anti")
+
+
 def with_group_values(
     df: DataFrame, keys: str | Sequence[str], values: Mapping[str, Column]
 ) -> DataFrame:
     """Add per-key aggregates to every row of the key."""
     keys = as_list(keys)
     totals = df.groupBy(*keys).agg(*[col.alias(name) for name, col in values.items()])
-    return df.join(totals, keys, "left").select(*columns_of(df), *values)
+    return fact_join(df, totals, keys, "left").select(*columns_of(df), *values)
 
 
 def first_per_key(

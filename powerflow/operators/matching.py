@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from powerflow.functions.metadata import metadata_value
 from powerflow.functions.naming import normalise_key
-from powerflow.operators.grouping import as_list, columns_of
+from powerflow.operators.grouping import anti_join, as_list, columns_of, fact_join
 from powerflow.operators.quality import drop_zero_capacity
 from powerflow.settings import CountryProfile
 
@@ -56,33 +56,24 @@ def join_locations(df: DataFrame, loc: DataFrame, profile: CountryProfile) -> Da
     facts = fact_key(drop_zero_capacity(df), profile)
     keyed = registry_key(loc, profile)
     clashes = {name: f"{name}_loc" for name in keyed.columns if name in df.columns}
-    joined = facts.join(keyed.withColumnsRenamed(clashes), "join_key", "inner")
+    joined = fact_join(facts, keyed.withColumnsRenamed(clashes), "join_key", "inner")
     return joined.withColumn("new_effective_capacity_watts", F.col("capacity_kw") * F.lit(1000))
 
 
 def unmatched_keys(df: DataFrame, loc: DataFrame, profile: CountryProfile) -> DataFrame:
     """Keys of the facts that no location has."""
     keys = fact_key(df, profile).select(profile.id_key, "join_key").distinct()
-    return keys.join(registry_key(loc, profile), "join_key", "left_anti").select(profile.id_key)
-
-
-def distinct_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of the right side of an anti join, once each.
-
-    The adaptive skew join can split the left side only. Distinct keys are combined before the
-    same shuffle the join needs, so a key with many copies on the right costs one row per task.
-    """
-    return df.select(*keys).distinct()
+    return anti_join(keys, registry_key(loc, profile), "join_key").select(profile.id_key)
 
 
 def missing_members(required: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Required dimension members that are not there yet."""
-    return required.join(distinct_of(present, [key]), key, "left_anti")
+    return anti_join(required, present, key)
 
 
 def set_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``a`` that ``b`` does not have."""
-    return a.select(key).distinct().join(distinct_of(b, [key]), key, "left_anti")
+    return anti_join(a.select(key).distinct(), b, key)
 
 
 def registry_equality(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -100,7 +91,7 @@ def join_prices(
 ) -> DataFrame:
     """Generation with the price of the same timestamp, if there is one."""
     others = [name for name in prices.columns if name != ts]
-    return df.join(prices, ts, "left").select(*columns_of(df), *others)
+    return fact_join(df, prices, ts, "left").select(*columns_of(df), *others)
 
 
 def drop_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -109,7 +100,7 @@ def drop_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Da
     All key columns are compared together, so a time stored for one location does not suppress
     another location.
     """
-    return df.join(distinct_of(existing, keys), list(keys), "left_anti")
+    return anti_join(df, existing, keys)
 
 
 def join_name_map(df: DataFrame, names: DataFrame, left: str, right: str) -> DataFrame:
@@ -119,13 +110,13 @@ def join_name_map(df: DataFrame, names: DataFrame, left: str, right: str) -> Dat
 
 def exclude_merge_targets(ids: DataFrame, weights: DataFrame, key: str = "gsp_id") -> DataFrame:
     """Ids that are taken directly: a rebuilt area is left out even if it is still listed."""
-    return ids.join(weights.select(F.col("target").alias(key)), key, "left_anti")
+    return anti_join(ids, weights.select(F.col("target").alias(key)), key)
 
 
 def route_by_key(df: DataFrame, sites: DataFrame, key: str) -> DataFrame:
     """Rows of the known sites, each with its site's columns, in one pass."""
     keyed = df.withColumn("site_key", F.col(key).cast("string"))
-    return keyed.join(sites, "site_key", "inner").drop("site_key")
+    return fact_join(keyed, sites, "site_key", "inner").drop("site_key")
 
 
 def union_feeds(*frames: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from powerflow.functions.times import utc_literal
-from powerflow.operators.grouping import as_list, batch_max, with_group_values
+from powerflow.operators.grouping import anti_join, as_list, batch_max, with_group_values
 from powerflow.schemas import CONTRACT
 
 
@@ -180,10 +180,7 @@ def grid_completeness(
     step: str,
     ts: str = "target_datetime_utc",
 ) -> DataFrame:
-    """Expected (id, time) cells, both ends included, that the facts do not have.
-
-    The facts are reduced to their distinct cells before the shuffle.
-    """
+    """Expected (id, time) cells, both ends included, that the facts do not have."""
     keys = [*ids.columns, ts]
-    cells = df.select(*ids.columns, F.col(ts).cast("timestamp_ntz").alias(ts)).distinct()
-    return daily_grid(ids, start, end, step, ts).join(cells, keys, "left_anti")
+    cells = df.select(*ids.columns, F.col(ts).cast("timestamp_ntz").alias(ts))
+    return anti_join(daily_grid(ids, start, end, step, ts), cells, keys)

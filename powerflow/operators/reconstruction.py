@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from powerflow.operators.grouping import fact_join
+
 MEASURES = ("generation_mw", "installedcapacity_mwp", "capacity_mwp")
 
 
@@ -25,7 +27,7 @@ def join_weights(
     """Source rows once per target they contribute to, measures scaled by the weight."""
     sources = weights.withColumnRenamed("source", key)
     scaled = {name: F.col(name) * F.col("weight") for name in measures}
-    return df.join(sources, key, "inner").withColumns(scaled)
+    return fact_join(df, sources, key, "inner").withColumns(scaled)
 
 
 def reconstruct_weighted(

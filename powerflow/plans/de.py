@@ -49,7 +49,9 @@ def de_generation(
     series = union_feeds(
         *[tag_constants(solar_series(areas[region]), region=region) for region in areas]
     )
-    installed = latest_capacity(capacities, "region", "year_start")
+    # one row per known area at most, so the size of the broadcast side has a fixed bound
+    known = capacities.filter(F.col("region").isin(*DE_AREAS))
+    installed = F.broadcast(latest_capacity(known, "region", "year_start"))
     joined = time_window(series, "target_datetime_utc", start, end).join(
         installed, "region", "left"
     )

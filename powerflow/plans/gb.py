@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from powerflow.functions.naming import canonical_schema, tag_constants
 from powerflow.functions.times import parse_date_time
 from powerflow.functions.units import missing_as_null, mw_to_kw
+from powerflow.operators.grouping import fact_join
 from powerflow.operators.matching import exclude_merge_targets, union_feeds
 from powerflow.operators.quality import apply_area_flags, partition_flags, settle_areas
 from powerflow.operators.reconstruction import MEASURES, reconstruct_weighted
@@ -64,8 +65,11 @@ def gb_generation(
         {name: missing_as_null(F.col(name)) for name in MEASURES}
     )
     live = exclude_merge_targets(list_active_ids(registry, max_id), weights)
-    flagged = partition_flags(rows, "gsp_id", "generation_mw", "capacity_mwp").join(
-        live.withColumn("is_direct", F.lit(True)), "gsp_id", "left"
+    flagged = fact_join(
+        partition_flags(rows, "gsp_id", "generation_mw", "capacity_mwp"),
+        live.withColumn("is_direct", F.lit(True)),
+        "gsp_id",
+        "left",
     )
     direct = apply_area_flags(flagged.filter("is_direct")).drop("is_direct")
 

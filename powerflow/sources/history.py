@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from powerflow.functions.times import utc_literal
+from powerflow.operators.grouping import fact_join
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -59,4 +60,4 @@ def read_existing_observations(
     """Stored observations of one observer, for the batch's locations, from its start up to now."""
     own = since_batch(obs.filter(F.col(observer_col) == observer), batch, stored_ts, batch_ts)
     recent = own.filter(F.col(stored_ts) <= utc_literal(now))
-    return recent.join(batch.select(location).distinct(), location, "left_semi")
+    return fact_join(recent, batch.select(location).distinct(), location, "left_semi")
