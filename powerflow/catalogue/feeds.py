@@ -54,8 +54,8 @@ def process_gsp(spark, sf_dir):
 
 # A source that is delivered directly, i.e. whose id is not a target, enters the sums after its
 # own zero-capacity rule.
-GB_ROWS = """ids AS (SELECT DISTINCT user_id AS gsp_id FROM events
-        WHERE user_id NOT IN (SELECT target FROM w)),
+GB_ROWS = """ids AS (SELECT c_custkey AS gsp_id FROM customer
+        WHERE c_custkey NOT IN (SELECT target FROM w)),
     direct AS (SELECT gsp_id, datetime_gmt, generation_mw, installedcapacity_mwp, capacity_mwp,
                       updated_gmt FROM raw_gsp SEMI JOIN ids USING (gsp_id)),
     sources AS (
@@ -78,7 +78,7 @@ GB_ROWS = """ids AS (SELECT DISTINCT user_id AS gsp_id FROM events
 @query("gb_generation", GB_COLUMNS, OBS, LOC, RAW_GSP, WEIGHTS, GB_ROWS, SETTLED.format(rows="areas"))
 def gb_generation(spark, sf_dir):
     """Areas that report plus the areas rebuilt from weighted sources."""
-    registry = table(spark, sf_dir, "events").select(F.col("user_id").alias("gsp_id"))
+    registry = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("gsp_id"))
     generation = plans.gb_generation(
         raw_gsp(spark, sf_dir).drop("event_id"),
         registry,

@@ -136,7 +136,7 @@ def save_forecast(spark, sf_dir):
     )
 
 
-# Sites: one per nation; nations with an even key are stored with a fixed capacity.
+# Sites: one per nation; those of the first three regions are stored with a fixed capacity.
 SITE_ROWS = """site_rows AS (
     SELECT solar_generation_kw, target_datetime_utc, capacity_kw, c_nationkey AS region_id
     FROM facts JOIN loc ON gsp_id = location_id)"""
@@ -157,7 +157,7 @@ def site_inputs(spark, sf_dir):
         F.col("n_regionkey").cast("double").alias("latitude"),
         F.col("n_nationkey").cast("double").alias("longitude"),
     )
-    stored = nations.filter("n_nationkey % 2 = 0").select(
+    stored = nations.filter("n_regionkey < 3").select(
         F.col("n_name").alias("client_site_name"),
         F.lit("nl").alias("country"),
         F.col("n_regionkey").cast("double").alias("latitude"),
@@ -192,10 +192,10 @@ OVERRIDES = """overrides AS (
     "site_registry",
     """SELECT n_name AS client_site_name, 'nl' AS country, CAST(n_regionkey AS DOUBLE) AS latitude,
               CAST(n_nationkey AS DOUBLE) AS longitude,
-              coalesce(override_kw, CASE WHEN n_nationkey % 2 = 0 THEN 5000000 ELSE 20000000 END)
+              coalesce(override_kw, CASE WHEN n_regionkey < 3 THEN 5000000 ELSE 20000000 END)
               AS capacity_kw
        FROM nation LEFT JOIN overrides USING (n_name)
-       WHERE n_nationkey % 2 = 0 OR n_name IN (SELECT n_name FROM overrides)""",
+       WHERE n_regionkey < 3 OR n_name IN (SELECT n_name FROM overrides)""",
     OBS,
     LOC,
     FACTS,

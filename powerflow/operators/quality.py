@@ -29,19 +29,23 @@ def assert_contract(df: DataFrame, cols: Sequence[str] = CONTRACT) -> DataFrame:
     return df
 
 
-def partition_flags(
-    df: DataFrame, key: str | Sequence[str], generation: str, capacity: str
-) -> DataFrame:
-    """Per-area flags on every row.
+def flag_columns(generation: str, capacity: str) -> dict[str, Column]:
+    """Aggregates of an area.
 
     ``no_capacity``: the capacities add up to zero, missing ones counting as zero.
     ``no_generation``: every generation value is missing.
     """
-    flags = {
+    return {
         "no_capacity": F.coalesce(F.sum(capacity), F.lit(0.0)) == 0,
         "no_generation": F.count(generation) == 0,
     }
-    return with_group_values(df, key, flags)
+
+
+def partition_flags(
+    df: DataFrame, key: str | Sequence[str], generation: str, capacity: str
+) -> DataFrame:
+    """The flags of its area on every row."""
+    return with_group_values(df, key, flag_columns(generation, capacity))
 
 
 def zero_gen_when_no_capacity(
@@ -51,10 +55,9 @@ def zero_gen_when_no_capacity(
     capacity: str = "capacity_mwp",
 ) -> DataFrame:
     """Set the generation of an area without any capacity to zero."""
-    total = F.coalesce(F.sum(capacity), F.lit(0.0))
-    return with_group_values(df, key, {"_capacity": total}).withColumn(
-        generation, F.when(F.col("_capacity") == 0, F.lit(0.0)).otherwise(F.col(generation))
-    ).drop("_capacity")
+    flagged = partition_flags(df, key, generation, capacity)
+    zeroed = F.when(F.col("no_capacity"), F.lit(0.0)).otherwise(F.col(generation))
+    return flagged.withColumn(generation, zeroed).drop("no_capacity", "no_generation")
 
 
 def drop_null_unless_all_null(

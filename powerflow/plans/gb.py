@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from powerflow.functions.naming import canonical_schema, tag_constants
 from powerflow.functions.times import parse_date_time
 from powerflow.functions.units import missing_as_null, mw_to_kw
-from powerflow.operators.grouping import fact_join
+from powerflow.operators.grouping import columns_of, fact_join
 from powerflow.operators.matching import exclude_merge_targets, union_feeds
-from powerflow.operators.quality import apply_area_flags, partition_flags, settle_areas
+from powerflow.operators.quality import apply_area_flags, settle_areas
 from powerflow.operators.reconstruction import MEASURES, reconstruct_weighted
+from powerflow.session import written
 from powerflow.settings import GB_MAX_ID
 from powerflow.sources.dimensions import cap_ids, list_active_ids
 from powerflow.sources.windows import feed_window, time_window
@@ -44,6 +45,38 @@ def process_gsp(df: DataFrame, regime: str) -> DataFrame:
     return delivered(settle_areas(df, "gsp_id"), regime)
 
 
+def wanted_areas(
+    registry: DataFrame, weights: DataFrame, targets: DataFrame, max_id: int | None
+) -> DataFrame:
+    """Ids a run needs, once each: those delivered directly and those that are only sources."""
+    live = exclude_merge_targets(list_active_ids(registry, max_id), weights)
+    sources = targets.select(F.col("source").alias("gsp_id"))
+    both = union_feeds(
+        tag_constants(live, is_direct=True), tag_constants(sources, is_direct=False)
+    )
+    return both.groupBy("gsp_id").agg(F.max("is_direct").alias("is_direct"))
+
+
+def area_totals(rows: DataFrame, areas: DataFrame) -> DataFrame:
+    """Per wanted area: its total capacity and what the quality rules need to know."""
+    totals = rows.groupBy("gsp_id").agg(
+        F.coalesce(F.sum("capacity_mwp"), F.lit(0.0)).alias("total_capacity"),
+        (F.count("generation_mw") == 0).alias("no_generation"),
+    )
+    return totals.join(areas, "gsp_id").withColumn("no_capacity", F.col("total_capacity") == 0)
+
+
+def target_totals(totals: DataFrame, targets: DataFrame) -> DataFrame:
+    """Per rebuilt area: does the weighted capacity of its sources add up to nothing?"""
+    sources = totals.select(F.col("gsp_id").alias("source"), "total_capacity")
+    capacity = F.sum(F.col("weight") * F.col("total_capacity"))
+    return (
+        targets.join(sources, "source")
+        .groupBy(F.col("target").alias("gsp_id"))
+        .agg((capacity == 0).alias("no_capacity"))
+    )
+
+
 def gb_generation(
     raw: DataFrame,
     registry: DataFrame,
@@ -56,20 +89,23 @@ def gb_generation(
     """Live areas directly plus retired areas rebuilt from their sources.
 
     The maximum id applies to both, but not to the sources. A source that is also delivered
-    directly enters the sums after its own zero-capacity rule, so both parts share the flags of
-    the raw rows.
+    directly enters the sums after its own zero-capacity rule.
+
+    Both parts need the totals of each area. They are computed in one pass and written, one row
+    per wanted area. While that table is small enough to be broadcast, the raw rows are not
+    shuffled at all on their way to the direct part and to the weighted sums.
     """
     _check_regime(regime)
     start, end = feed_window(f"gb_{regime}", now, backfill_hours)
     rows = time_window(raw, "datetime_gmt", start, end).withColumns(
         {name: missing_as_null(F.col(name)) for name in MEASURES}
     )
-    live = exclude_merge_targets(list_active_ids(registry, max_id), weights)
-    flagged = fact_join(
-        partition_flags(rows, "gsp_id", "generation_mw", "capacity_mwp"),
-        live.withColumn("is_direct", F.lit(True)),
-        "gsp_id",
-        "left",
+    targets = cap_ids(weights, max_id, "target")
+    wanted = wanted_areas(registry, weights, targets, max_id)
+    totals = written(area_totals(rows, wanted), "area-totals")
+    flags = totals.select("gsp_id", "is_direct", "no_capacity", "no_generation")
+    flagged = fact_join(rows, flags, "gsp_id", "inner").select(
+        *columns_of(rows), "is_direct", "no_capacity", "no_generation"
     )
     direct = apply_area_flags(flagged.filter("is_direct")).drop("is_direct")
 
@@ -77,9 +113,17 @@ def gb_generation(
     sources = flagged.withColumn(
         "generation_mw", F.when(zeroed, F.lit(0.0)).otherwise(F.col("generation_mw"))
     )
-    rebuilt = reconstruct_weighted(sources, cap_ids(weights, max_id, "target"))
-
-    return union_feeds(delivered(direct, regime), process_gsp(rebuilt, regime))
+    sums = reconstruct_weighted(sources, targets)
+    # sums are never missing, so the rule about missing generation does not apply to them
+    rebuilt = apply_area_flags(
+        fact_join(
+            tag_constants(sums, no_generation=False),
+            target_totals(totals, targets),
+            "gsp_id",
+            "inner",
+        )
+    )
+    return union_feeds(delivered(direct, regime), delivered(rebuilt, regime))
 
 
 def gb_forecast(raw: DataFrame) -> DataFrame:

@@ -77,3 +77,15 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     return os.path.join(tempfile.mkdtemp(prefix="powerflow-"), purpose)
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder, computed once.
+
+    For small results that several later passes need. The table survives a lost executor, the
+    passes that made it are not repeated, and Catalyst plans with its real size: it is broadcast
+    below the session's threshold and shuffled above it.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
