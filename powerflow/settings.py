@@ -59,23 +59,38 @@ GB_MERGE_WEIGHTS = {
 # Highest British grid area taken directly
 GB_MAX_ID = 348
 
-# Sites of the legacy site store: country -> [(site key, name, latitude, longitude)]
+# Known locations: (name, latitude, longitude, region id, region, country, type, energy source)
+LOCATIONS = [
+    ("nl_national", 52.13, 5.29, 0, None, "nl", "NATION", "solar"),
+    ("nl_region_1_groningen", 53.22, 6.74, 1, None, "nl", "STATE", "solar"),
+    ("nl_region_2_friesland", 53.11, 5.85, 2, None, "nl", "STATE", "solar"),
+    ("nl_region_3_drenthe", 52.86, 6.62, 3, None, "nl", "STATE", "solar"),
+    ("nl_region_4_overijssel", 52.45, 6.45, 4, None, "nl", "STATE", "solar"),
+    ("nl_region_5_flevoland", 52.53, 5.6, 5, None, "nl", "STATE", "solar"),
+    ("nl_region_6_gelderland", 52.06, 5.95, 6, None, "nl", "STATE", "solar"),
+    ("nl_region_7_utrecht", 52.08, 5.17, 7, None, "nl", "STATE", "solar"),
+    ("nl_region_8_noord_holland", 52.58, 4.87, 8, None, "nl", "STATE", "solar"),
+    ("nl_region_9_zuid_holland", 51.94, 4.47, 9, None, "nl", "STATE", "solar"),
+    ("nl_region_10_zeeland", 51.45, 3.84, 10, None, "nl", "STATE", "solar"),
+    ("nl_region_11_noord_brabant", 51.56, 5.2, 11, None, "nl", "STATE", "solar"),
+    ("nl_region_12_limburg", 51.21, 5.94, 12, None, "nl", "STATE", "solar"),
+    ("be_belgium", 50.85, 4.35, None, "Belgium", "be", "NATION", "solar"),
+    ("be_flanders", 51.0, 4.46, None, "Flanders", "be", "STATE", "solar"),
+    ("be_wallonia", 50.5, 4.7, None, "Wallonia", "be", "STATE", "solar"),
+    ("be_brussels", 50.85, 4.35, None, "Brussels", "be", "STATE", "solar"),
+    ("de_national", 51.16, 10.45, None, "de", "de", "NATION", "solar"),
+    ("de_50hertz", 52.5, 13.5, None, "50hertz", "de", "STATE", "solar"),
+    ("de_amprion", 51.5, 7.5, None, "amprion", "de", "STATE", "solar"),
+    ("de_tennet", 51.0, 10.5, None, "tennet", "de", "STATE", "solar"),
+    ("de_transnetbw", 48.5, 9.0, None, "transnetbw", "de", "STATE", "solar"),
+    ("ruvnl_solar", 26.4499, 74.65, 1, None, "ind_rajasthan", "STATE", "solar"),
+    ("ruvnl_wind", 26.4499, 72.65, 2, None, "ind_rajasthan", "STATE", "wind"),
+]
+
+# Sites of the site store: country -> [(site key, name, latitude, longitude)]; the Dutch ones are
+# the known locations by region
 SITES = {
-    "nl": [
-        ("0", "nl_national", 52.13, 5.29),
-        ("1", "nl_region_1_groningen", 53.22, 6.74),
-        ("2", "nl_region_2_friesland", 53.11, 5.85),
-        ("3", "nl_region_3_drenthe", 52.86, 6.62),
-        ("4", "nl_region_4_overijssel", 52.45, 6.45),
-        ("5", "nl_region_5_flevoland", 52.53, 5.60),
-        ("6", "nl_region_6_gelderland", 52.06, 5.95),
-        ("7", "nl_region_7_utrecht", 52.08, 5.17),
-        ("8", "nl_region_8_noord_holland", 52.58, 4.87),
-        ("9", "nl_region_9_zuid_holland", 51.94, 4.47),
-        ("10", "nl_region_10_zeeland", 51.45, 3.84),
-        ("11", "nl_region_11_noord_brabant", 51.56, 5.20),
-        ("12", "nl_region_12_limburg", 51.21, 5.94),
-    ],
+    "nl": [(str(row[3]), row[0], row[1], row[2]) for row in LOCATIONS if row[5] == "nl"],
     "de": [
         ("50Hertz", "50Hertz", 52.53, 13.37),
         ("Amprion", "Amprion", 51.52, 7.45),

@@ -9,13 +9,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from powerflow.schemas import LOCATIONS_CSV, WEIGHTS
 from powerflow.session import config_table
-from powerflow.settings import GB_MERGE_WEIGHTS, SITES
-
-PACKAGED_LOCATIONS = str(Path(__file__).resolve().parent.parent / "data" / "locations.csv")
-
+from powerflow.settings import GB_MERGE_WEIGHTS, LOCATIONS, SITES
 
 def read_locations(spark: SparkSession, path: str, country: str) -> DataFrame:
     """Location dimension of one country; the filter is pushed into the CSV scan."""
@@ -28,20 +26,9 @@ def read_locations(spark: SparkSession, path: str, country: str) -> DataFrame:
 
 
 def packaged_locations(spark: SparkSession, country: str) -> DataFrame:
-    """The locations that ship with the package.
-
-    The file is part of the driver's install, so its 24 lines travel as configuration rather than
-    as a path executors would have to reach.
-    """
-    lines = Path(PACKAGED_LOCATIONS).read_text().splitlines()
-    names = lines[0].split(",")
-    rows = []
-    for line in lines[1:]:
-        row = {name: value or None for name, value in zip(names, line.split(","), strict=True)}
-        for name in ("latitude", "longitude"):
-            row[name] = float(row[name])
-        row["region_id"] = int(row["region_id"]) if row["region_id"] else None
-        rows.append(row)
+    """The known locations of one country."""
+    names = T.StructType.fromDDL(LOCATIONS_CSV).fieldNames()
+    rows = [dict(zip(names, row, strict=True)) for row in LOCATIONS]
     return config_table(spark, rows, LOCATIONS_CSV).filter(F.col("country_code") == country)
 
 
