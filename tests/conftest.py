@@ -15,7 +15,10 @@ from powerflow.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, shuffle_partitions=4)
+    session = local_session(4, shuffle_partitions=2)
+    # a few rows per query: compiling each plan would take longer than running it
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     yield session
     session.stop()
 

@@ -20,6 +20,18 @@ SAMPLE = [
 ]
 
 
+@pytest.fixture(autouse=True)
+def compiled(spark):
+    """These run as they do outside the tests, with compiled plans."""
+    names = ("spark.sql.codegen.wholeStage", "spark.sql.codegen.factoryMode")
+    before = [spark.conf.get(name) for name in names]
+    for name, value in zip(names, ("true", "FALLBACK"), strict=True):
+        spark.conf.set(name, value)
+    yield
+    for name, value in zip(names, before, strict=True):
+        spark.conf.set(name, value)
+
+
 def test_every_query_has_sql():
     assert set(entry.queries()) == set(entry.oracle_sql())
     assert len(entry.queries()) > 100
