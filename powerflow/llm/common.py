@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Strings built per row from a whole text (digests, context) never need the text itself in a shuffle.
-BLANKS = " \t\n\x0b\x0c\r"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table by a path that only Spark needs to understand."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,7 +24,9 @@ def documents_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def text_key(text: Column) -> Column:
-    return F.concat(F.unhex(F.hex(F.xxhash64(text))), F.unhex(F.hex(F.xxhash64(F.lit(1), text, F.length(text)))))
+    """128 bits of a text: two hashes with different beginnings."""
+    halves = (F.xxhash64(text), F.xxhash64(F.lit(1), text))
+    return F.concat(*[F.unhex(F.lpad(F.hex(half), 16, "0")) for half in halves])
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
@@ -41,6 +37,3 @@ def crc_part(id_col: Column, parts: int) -> Column:
     """Remainder of the CRC-32 of the id as text; NULL ids count as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % parts
 
-
-def map_rows(df: DataFrame, work: Callable, ddl: str) -> DataFrame:
-    return df.mapInArrow(work, ddl)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, piece_counts
+from powerflow.llm import byte_bpe, decontaminate, piece_counts
 from powerflow.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -14,6 +14,18 @@ PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    found = decontaminate.contamination(documents, benchmark)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated().alias("contaminated"),
+        F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))).alias("copy"),
+    ).drop("copy")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(PIECE_VOCABULARY)
@@ -28,8 +40,42 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_token_counts": op3_token_counts,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLES = {
+    "op1_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+iw AS (
+    SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[s : s + least(13, len(w)) - 1], ' ') AS win
+    FROM (SELECT item, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)
+),
+dw AS (
+    SELECT r, s, n, array_to_string(w[s : s + n - 1], ' ') AS win
+    FROM (
+        SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n
+    )
+),
+hits AS (SELECT r, s, dw.n, item FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+n_hit AS (
+    SELECT r, count(DISTINCT p) AS n_hit
+    FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hits) GROUP BY r
+),
+n_items AS (
+    SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+    FROM hits GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN n_hit USING (r) LEFT JOIN n_items USING (r)
+""",
+}

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE_BYTES = 1 << 20
 
@@ -67,7 +68,7 @@ class Words:
 def pieces(batch: pa.RecordBatch, text: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of whole rows with at most ``limit`` bytes of text, or one longer row."""
     sizes = batch.column(text)
-    lengths = np.asarray(pa.compute.binary_length(sizes).fill_null(0).to_numpy(zero_copy_only=False))
+    lengths = np.asarray(pc.binary_length(sizes).fill_null(0).to_numpy(zero_copy_only=False))
     begin, held = 0, 0
     for i, length in enumerate(lengths):
         if i > begin and held + length > limit:
