@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, piece_counts
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, piece_counts
 from powerflow.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -32,6 +32,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.with_token_counts(documents, path, TOKEN_LIMIT).drop("text")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BYTE_VOCABULARY)
@@ -42,6 +47,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_counts": op3_token_counts,
+    "op4_exact_dedup": op4_exact_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
@@ -77,5 +83,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
     coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n_hit USING (r) LEFT JOIN n_items USING (r)
+""",
+    "op4_exact_dedup": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+        regexp_replace(coalesce(text, ''), '[ \t-\r]', '', 'g') AS bare
+    FROM documents
+)
+SELECT doc_id,
+    first_value(doc_id) OVER w AS keep_id,
+    count(*) OVER (PARTITION BY bare) AS group_size,
+    row_number() OVER w = 1 AS kept,
+    sha256(bare) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY bare ORDER BY length(t) DESC, doc_id, r)
 """,
 }
