@@ -6,12 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, exact_dedup, piece_counts
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, piece_counts, url_filter
 from powerflow.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +44,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BYTE_VOCABULARY)
@@ -48,6 +60,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_url_filter": op5_url_filter,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
