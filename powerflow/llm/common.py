@@ -29,6 +29,39 @@ def text_key(text: Column) -> Column:
     return F.concat(*[F.unhex(F.lpad(F.hex(half), 16, "0")) for half in halves])
 
 
+def _row_key(id_col: str, text_col: str) -> Column:
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return F.struct(F.col(f"`{id_col}`").alias("id"), text_key(text).alias("text_key"))
+
+
+def without_documents(
+    documents: DataFrame, listed: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Rows whose ``id`` and ``text_key`` are not listed; columns of any name stay as they are."""
+    own = _row_key(id_col, text_col)
+    rows = documents.select(F.struct("*").alias("row"), F.xxhash64(own).alias("place"), own.alias("own"))
+    listed = listed.select(F.struct("id", "text_key").alias("other"))
+    listed = listed.select("other", F.xxhash64("other").alias("other_place"))
+    same = (F.col("place") == F.col("other_place")) & F.col("own").eqNullSafe(F.col("other"))
+    return rows.join(listed, same, "left_anti").select("row.*")
+
+
+def keep_marked(
+    documents: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Rows that ``found`` marks as ``kept``, one of each, all columns as they are.
+
+    ``found`` has a row for each row of the documents, with ``id``, ``text_key``, ``kept`` and ``copy``,
+    the number among rows equal in id and text.
+    """
+    dropped = found.groupBy("id", "text_key").agg(F.bool_or("kept").alias("kept"), F.max("copy").alias("copies"))
+    left = without_documents(documents, dropped.filter("NOT kept").select("id", "text_key"), id_col, text_col)
+    if dropped.filter("kept AND copies > 1").isEmpty():
+        return left
+    rows = left.select(F.struct("*").alias("row"), _row_key(id_col, text_col).alias("own"))
+    return rows.dropDuplicates(["own"]).select("row.*")
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 

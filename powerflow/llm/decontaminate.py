@@ -17,42 +17,17 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from powerflow.llm.common import arrow_schema, documents_of
+from powerflow.llm.bitmap import bitmap_of, passes
+from powerflow.llm.common import arrow_schema, documents_of, without_documents
 from powerflow.llm.words import mix, pieces, shingles, split_words
 from powerflow.operators.grouping import fact_join
 from powerflow.session import written
 
 WINDOW = 13
 SHINGLE = 3
-# Shingle hashes are filtered by a bitmap of this many bits (4 MB), whatever the benchmark's size. A
-# larger benchmark lets more shingles of documents pass to the join and loses none.
-FILTER_BITS = 25
 FLUSH = 1 << 20
 
 
-def _bits(hashes: np.ndarray) -> np.ndarray:
-    return (hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def _filter_of(hashes: DataFrame, column: str) -> Broadcast:
-    """Bitmap over the hashes, put together by Spark; 2^FILTER_BITS / 64 numbers at most."""
-    slot = F.shiftrightunsigned(F.col(column), 64 - FILTER_BITS)
-    words = (
-        hashes.groupBy(F.shiftright(slot, 6).cast("int").alias("word"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {64 - FILTER_BITS}) % 64 as int))")).alias("bits"))
-        .toArrow()
-    )
-    bitmap = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
-    flags = np.unpackbits(bitmap.view(np.uint8), bitorder="little")
-    return hashes.sparkSession.sparkContext.broadcast(np.packbits(flags, bitorder="little"))
-
-
-def _passes(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _bits(hashes)
-    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
 def _full_shingles(words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles of exactly ``size`` words with the index of their first word."""
     if size == 1:
@@ -115,7 +90,7 @@ def _gram_counts(docs: DataFrame, wanted: Broadcast, sizes: list[int]) -> DataFr
                 words = split_words(piece.column("text"))
                 for size in sizes:
                     values, _ = _full_shingles(words, size)
-                    values = values[_passes(wanted.value, values)]
+                    values = values[passes(wanted.value, values)]
                     held.append(values)
                     size_held += len(values)
                 if size_held > FLUSH:
@@ -149,7 +124,7 @@ def _candidates(docs: DataFrame, wanted: Broadcast, sizes: list[int], window: in
                 rows = words.row
                 for size in sizes:
                     values, begin = _full_shingles(words, size)
-                    on = np.flatnonzero(_passes(wanted.value, values))
+                    on = np.flatnonzero(passes(wanted.value, values))
                     for value, at in zip(values[on].view(np.int64).tolist(), begin[on].tolist(), strict=True):
                         row = rows[at]
                         first, last = int(words.first[row]), int(words.first[row + 1])
@@ -177,12 +152,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     it) and ``spans`` (begin and end of the hit windows, in words). Texts without words, NULL ones
     among them, have zero counts. The joined lists of a document are as long as its own hits.
     """
-    spark = documents.sparkSession
     docs = documents_of(documents)
     windows = written(item_windows(benchmark, window), "windows")
     grams = windows.select("window", F.explode("grams").alias("g")).select("window", "g.*")
     sizes = sorted(row["size"] for row in grams.select("size").distinct().collect())  # SHINGLE at most
-    counts = _gram_counts(docs, _filter_of(grams, "gram"), sizes)
+    counts = _gram_counts(docs, bitmap_of(grams, "gram"), sizes)
     prefix = (
         fact_join(grams, counts, "gram", "left")
         .groupBy("window")
@@ -193,7 +167,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         .select("window", "items", "n", F.col("rare.gram").alias("gram"), F.col("rare.pos").alias("pos")),
         "rare",
     )
-    found = _candidates(docs, _filter_of(rare, "gram"), sizes, window)
+    found = _candidates(docs, bitmap_of(rare, "gram"), sizes, window)
     found = found.select("id", "text_key", "n_words", F.explode("found").alias("f")).select(
         "id", "text_key", "n_words", "f.*"
     )
@@ -242,19 +216,4 @@ def is_contaminated() -> F.Column:
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of the documents, all columns kept, that are not contaminated."""
     bad = contamination(documents, benchmark).filter(is_contaminated()).select("id", "text_key")
-    return anti_documents(documents, written(bad, "contaminated"))
-
-
-def anti_documents(documents: DataFrame, keys: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows whose id and text are not listed; columns of any name stay as they are."""
-    from powerflow.llm.common import text_key
-
-    own = F.struct(
-        F.col(f"`{id_col}`").alias("id"),
-        text_key(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("text_key"),
-    )
-    rows = documents.select(F.struct("*").alias("row"), F.xxhash64(own).alias("place"), own.alias("own"))
-    listed = keys.select(F.struct("id", "text_key").alias("own_"))
-    listed = listed.select(F.xxhash64("own_").alias("place_"), "own_")
-    left = rows.join(listed, (F.col("place") == F.col("place_")) & F.col("own").eqNullSafe(F.col("own_")), "left_anti")
-    return left.select("row.*")
+    return without_documents(documents, written(bad, "contaminated"))

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from powerflow.llm.common import documents_of
-from powerflow.llm.decontaminate import anti_documents
+from powerflow.llm.common import documents_of, keep_marked
 from powerflow.operators.grouping import fact_join
 from powerflow.session import written
 
@@ -107,21 +106,4 @@ def duplicates(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One row of each group of equal texts, all columns kept."""
-    found = written(duplicates(documents), "duplicates")
-    dropped = found.groupBy("id", "text_key").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows"))
-    left = anti_documents(documents, dropped.filter("NOT kept"))
-    if found.filter("kept AND copy = 1").join(
-        found.filter("copy = 2"), ["id", "text_key"], "left_semi"
-    ).isEmpty():
-        return left
-    # a kept document occurs in several rows
-    return one_row_each(left)
-
-
-def one_row_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One of the rows with equal id and text."""
-    from powerflow.llm.common import text_key
-
-    key = text_key(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    rows = documents.select(F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("id"), key.alias("text_key"))
-    return rows.dropDuplicates(["id", "text_key"]).select("row.*")
+    return keep_marked(documents, written(duplicates(documents), "duplicates"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, exact_dedup, piece_counts, url_filter
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, piece_counts, url_filter
 from powerflow.llm.common import table
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -49,6 +49,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BYTE_VOCABULARY)
@@ -61,6 +66,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_filter": op5_url_filter,
+    "op7_near_dedup": op7_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
