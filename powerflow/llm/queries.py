@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, piece_counts, url_filter
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, piece_counts, url_filter, warc
 from powerflow.llm.common import table
+from powerflow.llm.shared_files import new_folder
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
@@ -54,6 +55,14 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BYTE_VOCABULARY)
@@ -67,6 +76,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_filter": op5_url_filter,
     "op7_near_dedup": op7_near_dedup,
+    "op8_warc": op8_warc,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
@@ -115,5 +125,15 @@ SELECT doc_id,
     row_number() OVER w = 1 AS kept,
     sha256(bare) AS text_sha256
 FROM d WINDOW w AS (PARTITION BY bare ORDER BY length(t) DESC, doc_id, r)
+""",
+    "op8_warc": """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages
+),
+k AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest, n) END AS keep FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+    CASE WHEN keep IS NOT NULL AND keep <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN keep <> page_id THEN keep END AS refers_to
+FROM k
 """,
 }
