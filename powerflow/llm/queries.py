@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, exact_dedup, near_dedup, piece_counts, url_filter, warc
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, html_text, near_dedup, piece_counts, url_filter, warc
 from powerflow.llm.common import table
 from powerflow.llm.shared_files import new_folder
 
@@ -50,6 +50,13 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extracted = html_text.extract(table(spark, sf_dir, "pages"))
+    return extracted.select(
+        F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
@@ -75,6 +82,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_filter": op5_url_filter,
+    "op6_html_text": op6_html_text,
     "op7_near_dedup": op7_near_dedup,
     "op8_warc": op8_warc,
     "op9_byte_bpe": op9_byte_bpe,
