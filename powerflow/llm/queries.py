@@ -6,13 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, exact_dedup, html_text, near_dedup, piece_counts, url_filter, warc
-from powerflow.llm.common import table
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, html_text, near_dedup, piece_counts, quality, url_filter, warc
+from powerflow.llm.common import crc_part, table
 from powerflow.llm.shared_files import new_folder
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+QUALITY_FOLDS = 5
+QUALITY_THRESHOLD = 0.3
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -34,6 +36,21 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("copy")
 
 
+def with_quality(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with ``score``, learned from labels outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    wanted = crc_part(F.col("doc_id"), QUALITY_FOLDS) != 0
+    return documents.withColumn("score", quality.quality_score(documents, labels, wanted))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_quality(spark, documents, sf_dir).select(
+        "doc_id", (crc_part(F.col("doc_id"), QUALITY_FOLDS) == 0).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(PIECE_VOCABULARY)
@@ -79,6 +96,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_quality": op2_quality,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_url_filter": op5_url_filter,

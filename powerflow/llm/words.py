@@ -90,24 +90,19 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split_words(column: pa.Array, letters: np.ndarray = ALPHANUMERIC) -> Words:
-    """Words of each row, with A-Z lower-cased and nothing else changed."""
+def split_words(column: pa.Array, classes: np.ndarray = ALPHANUMERIC, lower: bool = True) -> Words:
+    """Words of each row: runs of bytes of one class other than zero. A-Z is lower-cased first."""
     data, offsets = raw_bytes(column)
-    data = _LOWER[data]
-    inside = letters[data]
-    before = np.empty_like(inside)
-    if len(inside):
-        before[0] = False
-        before[1:] = inside[:-1]
-        edges = offsets[:-1]
-        before[edges[edges < len(inside)]] = False
-    start = np.flatnonzero(inside & ~before)
-    after = np.zeros_like(inside)
-    if len(inside):
-        after[:-1] = inside[1:]
-        edges = offsets[1:] - 1
-        after[edges[edges >= 0]] = False
-    end = np.flatnonzero(inside & ~after) + 1
+    if lower:
+        data = _LOWER[data]
+    kind = classes[data]
+    changes = np.ones(len(kind) + 1, dtype=bool)
+    if len(kind):
+        np.not_equal(kind[1:], kind[:-1], out=changes[1:-1])
+        changes[offsets] = True
+    inside = kind != 0
+    start = np.flatnonzero(changes[:-1] & inside)
+    end = np.flatnonzero(changes[1:] & inside) + 1
     return Words(data, start, end, hash_ranges(data, start, end), np.searchsorted(start, offsets))
 
 
