@@ -6,10 +6,10 @@ for the plain set as well, so that both kinds of resemblance meet in a band.
 
 A band's bucket is never expanded into its pairs. Each member is first compared with the bucket's smallest
 member. Where a bucket then still holds several classes, the members outside its largest one are compared with
-all members in blocks of bounded size, by signature; the pairs that can reach the threshold are
-verified, likeliest first, until none between different classes is left. A link is therefore lost only if no
-band of the two documents agrees (three in a million at the threshold) or their signatures are off
-by more than five standard errors.
+all members in blocks of bounded size: by signature first, and those that can reach the threshold by
+their shingles, likeliest first, until one link to each other class is found. More links between two
+classes would change nothing. A link is therefore lost only if no band of the two documents agrees (three in a
+million at the threshold) or their signatures are off by more than five standard errors.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,8 +31,9 @@ from powerflow.session import written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-BLOCK = 1024  # members of a bucket that are compared at once
-FIRST_TRIES = 4  # likeliest pairs of two classes verified in the first round; eight times as many in each next
+# A bucket's members are compared in blocks of so many rows, or fewer where shingle sets are long
+BLOCK_ROWS = 1024
+BLOCK_BYTES = 16 << 20
 
 
 def sketches(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -78,7 +79,7 @@ def sketches(documents: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFr
 
 
 def _shingle_sets(documents: DataFrame, info: DataFrame, shingle_words: int) -> DataFrame:
-    """The sorted shingle hashes of each node that shares a bucket, packed."""
+    """Signature and sorted shingle hashes, packed, of each node that shares a bucket."""
 
     @F.arrow_udf("binary")
     def packed(column: pa.Array) -> pa.Array:
@@ -93,10 +94,10 @@ def _shingle_sets(documents: DataFrame, info: DataFrame, shingle_words: int) ->
 
     wanted = bitmap_of(info, "text_hash")
     rows = documents.withColumn("text_hash", F.xxhash64("text")).filter(may_be_in(F.col("text_hash"), wanted))
-    owners = info.select("node", "text_hash", "text_key")
+    owners = info.select("node", "text_hash", "text_key", "sign")
     sets = rows.select("text_hash", "text_key", packed("text").alias("shingles"))
     joined = fact_join(sets, owners, ["text_hash", "text_key"], "inner")
-    return joined.select("node", "shingles").dropDuplicates(["node"])
+    return joined.select("node", "sign", "shingles").dropDuplicates(["node"])
 
 
 @F.arrow_udf(T.IntegerType())
@@ -171,58 +172,87 @@ def _labelled(rows: DataFrame, key: str, labels: DataFrame, name: str) -> DataFr
     return joined.withColumn(name, F.coalesce(name, key))
 
 
-def _rest_pairs(members: DataFrame, labels: DataFrame, info: DataFrame, enough: int) -> DataFrame:
-    """Pairs of different classes in one bucket whose signatures can reach the threshold.
-
-    One of each pair is outside its bucket's largest class. Blocks have at most BLOCK expected
-    members on either side, whatever the bucket's size.
+def _new_links(
+    node: np.ndarray, label: np.ndarray, rest: np.ndarray, sign: np.ndarray, sets: list[np.ndarray],
+    enough: int, similarity: float,
+) -> list[tuple[int, int]]:
+    """One link from each row of ``rest`` to each other class that it has a link to, within one block."""
+    size = np.array([len(s) for s in sets])
+    others = np.flatnonzero(~rest)
+    links = []
+    for i in np.flatnonzero(rest):
+        low, high = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
+        on = others[(label[others] != label[i]) & (low >= similarity * high)]
+        same = (sign[on] == sign[i]).sum(axis=1)
+        likely = same >= enough
+        on = on[likely][np.argsort(-same[likely], kind="stable")]
+        step = 8
+        while len(on):
+            now, on = on[:step], on[step:]
+            elements = np.concatenate([sets[j] for j in now])
+            at = np.minimum(np.searchsorted(sets[i], elements), size[i] - 1)
+            begins = np.cumsum(size[now]) - size[now]
+            common = np.add.reduceat((sets[i][at] == elements).astype(np.int64), begins)
+            found = now[common >= similarity * (size[i] + size[now] - common)]
+            _, one = np.unique(label[found], return_index=True)
+            links += [(int(node[i]), int(node[j])) for j in found[one]]
+            on = on[~np.isin(label[on], label[found])]
+            step *= 8
+    return links
+
+
+def _rest_links(members: DataFrame, labels: DataFrame, sets: DataFrame, enough: int, similarity: float) -> DataFrame:
+    """Links between classes that share a bucket: (a, b), at least one for every two classes linked there.
+
+    One end is outside its bucket's largest class. Both sides are dealt into blocks, and every block of
+    the one meets every block of the other in a group of its own.
     """
     rows = _labelled(members, "node", labels, "label")
-    classes = rows.groupBy("band", "label").agg(F.count("*").alias("n"))
+    rows = fact_join(rows, sets.select("node", F.octet_length("shingles").alias("bytes")), "node", "inner")
+    classes = rows.groupBy("band", "label").agg(F.count("*").alias("n"), F.max("bytes").alias("bytes"))
+    block = F.greatest(F.lit(1), F.least(F.lit(BLOCK_ROWS), F.floor(BLOCK_BYTES / F.col("longest"))))
     buckets = (
         classes.groupBy("band")
-        .agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes"), F.sum("n").alias("size"))
-        .filter("classes > 1 AND size > 2")
+        .agg(
+            F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes"), F.sum("n").alias("size"),
+            F.max("bytes").alias("longest"),
+        )
+        .filter("classes > 1 AND size > 2")  # of two members, the one pair has been compared
         .select(
             "band", F.col("top.label").alias("top"),
-            F.ceil(F.col("size") / BLOCK).cast("int").alias("all_blocks"),
-            F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("rest_blocks"),
+            F.ceil(F.col("size") / block).cast("int").alias("all_blocks"),
+            F.ceil((F.col("size") - F.col("top.n")) / block).cast("int").alias("rest_blocks"),
         )
     )
     active = fact_join(rows.select("band", "node", "label"), buckets, "band", "inner")
-    active = fact_join(active, info.select("node", "sign"), "node", "inner")
+    active = fact_join(active, sets, "node", "inner")
     spot = F.xxhash64("node")
-    everyone = active.select(
-        "band", "node", "label", "sign", F.lit(False).alias("rest"),
-        F.pmod(spot, "all_blocks").cast("int").alias("column"),
-        F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("line"),
+    outside = F.col("label") != F.col("top")
+    # a row outside the largest class stands on both sides; it is sent once for each block it meets
+    places = F.transform(
+        F.sequence(F.lit(0), F.col("rest_blocks") - 1),
+        lambda line: F.struct(F.pmod(spot, "all_blocks").cast("int").alias("column"), line.alias("line"), F.lit(False).alias("rest")),
     )
-    rest = active.filter("label != top").select(
-        "band", "node", "label", "sign", F.lit(True).alias("rest"),
-        F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("column"),
-        F.pmod(spot, "rest_blocks").cast("int").alias("line"),
+    rest_places = F.transform(
+        F.sequence(F.lit(0), F.col("all_blocks") - 1),
+        lambda column: F.struct(column.alias("column"), F.pmod(spot, "rest_blocks").cast("int").alias("line"), F.lit(True).alias("rest")),
     )
-    schema = "a long, b long, agree int"
+    spread = active.select(
+        "band", "node", "label", "sign", "shingles",
+        F.explode(F.when(outside, F.concat(places, rest_places)).otherwise(places)).alias("place"),
+    ).select("band", "place.line", "place.column", "node", "label", "place.rest", "sign", "shingles")
+    schema = "a long, b long"
     arrow = arrow_schema(schema)
 
     def compare(table: pa.Table) -> pa.RecordBatch:
-        node = table.column("node").to_numpy()
-        label = table.column("label").to_numpy()
-        rest = table.column("rest").to_numpy(zero_copy_only=False).astype(bool)
-        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        others = np.flatnonzero(~rest)
-        left, right, agree = [], [], []
-        for i in np.flatnonzero(rest):
-            on = others[label[others] != label[i]]
-            same = (sign[on] == sign[i]).sum(axis=1)
-            good = same >= enough
-            left.append(np.minimum(node[i], node[on[good]]))
-            right.append(np.maximum(node[i], node[on[good]]))
-            agree.append(same[good])
-        parts = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right, agree)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(parts[0], pa.int64()), pa.array(parts[1], pa.int64()), pa.array(parts[2].astype(np.int32))], schema=arrow
+        links = _new_links(
+            table.column("node").to_numpy(), table.column("label").to_numpy(),
+            table.column("rest").to_numpy().astype(bool),
+            np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(-1, REGISTERS),
+            [np.frombuffer(v, np.uint64) for v in table.column("shingles").to_pylist()], enough, similarity,
         )
+        ends = np.array(links, dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], schema=arrow)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -242,10 +272,8 @@ def _rest_pairs(members: DataFrame, labels: DataFrame, info: DataFrame, enough:
         if held:
             yield compare(pa.Table.from_batches(held))
 
-    columns = ["band", "line", "column", "node", "label", "rest", "sign"]
     return (
-        everyone.select(columns).union(rest.select(columns))
-        .repartition("band", "line", "column").sortWithinPartitions("band", "line", "column")
+        spread.repartition("band", "line", "column").sortWithinPartitions("band", "line", "column")
         .mapInArrow(blocks, schema).distinct()
     )
 
@@ -278,27 +306,14 @@ def near_duplicates(
     stars = written(
         members.filter("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "stars"
     )
-    signed = _with_node(_with_node(stars, "a", info, {"sign": "left"}), "b", info, {"sign": "right"})
+    signed = _with_node(_with_node(stars, "a", sets, {"sign": "left"}), "b", sets, {"sign": "right"})
     likely = signed.filter(_agreement("left", "right") >= enough).select("a", "b")
     links = written(_verified(likely, sets, similarity), "links")
     labels = components(links)
 
-    open_pairs = _rest_pairs(members.select("band", "node"), labels, info, enough)
-    open_pairs = written(open_pairs.join(stars, ["a", "b"], "left_anti"), "open")
-    tries = FIRST_TRIES
-    while True:
-        apart = _labelled(_labelled(open_pairs, "a", labels, "la"), "b", labels, "lb").filter("la != lb")
-        order = Window.partitionBy(F.least("la", "lb"), F.greatest("la", "lb")).orderBy(F.desc("agree"), "a", "b")
-        apart = written(apart.withColumn("turn", F.row_number().over(order)).select("a", "b", "agree", "turn"), "open")
-        now = apart.filter(F.col("turn") <= tries)
-        if now.isEmpty():
-            break
-        more = written(_verified(now.select("a", "b"), sets, similarity), "links")
-        open_pairs = apart.filter(F.col("turn") > tries).select("a", "b", "agree")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
-        tries *= 8
+    more = written(_rest_links(members.select("band", "node"), labels, sets, enough, similarity), "links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
 
     rows = all_docs.groupBy("id", "text_key", "node").agg(F.count("*").alias("n_rows"))
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_key"))
