@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, exact_dedup, html_text, near_dedup, piece_counts, quality, url_filter, warc
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, html_text, kneser_ney, near_dedup, piece_counts, quality, url_filter, warc
 from powerflow.llm.common import crc_part, table
 from powerflow.llm.shared_files import new_folder
 
@@ -14,6 +14,7 @@ BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 QUALITY_FOLDS = 5
+LM_FOLDS = 10
 QUALITY_THRESHOLD = 0.3
 URL_RULES = [
     ("com", "/", "allow"),
@@ -94,6 +95,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.col("bpe.n_tokens"), F.col("bpe.ids_sha256"), F.col("bpe.decoded_sha256"))
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = crc_part(F.col("doc_id"), LM_FOLDS)
+    return kneser_ney.with_scores(documents, part != 0).select(
+        "doc_id", (part == 0).alias("held_out"), "lm.n_tokens", "lm.n_known", "lm.train_tokens", "lm.base_score", "lm.score"
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -104,6 +113,7 @@ QUERIES = {
     "op7_near_dedup": op7_near_dedup,
     "op8_warc": op8_warc,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 _WORDS = r"""regexp_extract_all(
