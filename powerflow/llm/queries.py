@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from powerflow.llm import byte_bpe, decontaminate, exact_dedup, html_text, kneser_ney, near_dedup, piece_counts, quality, url_filter, warc
@@ -37,16 +37,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("copy")
 
 
-def with_quality(spark: SparkSession, documents: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with ``score``, learned from labels outside the held-out fold."""
+def quality_column(spark: SparkSession, documents: DataFrame, sf_dir: str) -> Column:
+    """Score over the documents' texts, learned from labels outside the held-out fold."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     wanted = crc_part(F.col("doc_id"), QUALITY_FOLDS) != 0
-    return documents.withColumn("score", quality.quality_score(documents, labels, wanted))
+    return quality.quality_score(documents, labels, wanted)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_quality(spark, documents, sf_dir).select(
+    scored = documents.withColumn("score", quality_column(spark, documents, sf_dir))
+    return scored.select(
         "doc_id", (crc_part(F.col("doc_id"), QUALITY_FOLDS) == 0).alias("held_out"), "score",
         (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"),
     )
