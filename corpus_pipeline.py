@@ -1,7 +1,8 @@
 """Stages that turn raw documents into encoded training text.
 
 Every stage takes what its predecessor kept and drops rows or, in the last, encodes them. A stage's result is
-written as Parquet and read again, so a lost executor costs no earlier stage.
+written as Parquet and read again, so a lost executor costs no earlier stage. All stages but the last return
+the columns of the documents.
 """
 
 from __future__ import annotations
@@ -10,12 +11,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, near_dedup
 from powerflow.llm.common import table
-from powerflow.llm.queries import BYTE_VOCABULARY
+from powerflow.llm.queries import BYTE_VOCABULARY, QUALITY_THRESHOLD, quality_column
 from powerflow.session import written
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on their labels, does not reject."""
+    return docs.filter(quality_column(spark, docs, sf_dir) >= QUALITY_THRESHOLD)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One of each group of texts that are equal but for blanks."""
+    return exact_dedup.keep_one(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One of each class of near duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth lies in windows of the benchmark."""
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document left."""
     path = public_tokenizers.path(BYTE_VOCABULARY)
@@ -24,6 +45,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", keep_good),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontaminate", drop_contaminated),
     ("encode", encode),
 ]
 
