@@ -17,10 +17,11 @@ from powerflow.llm.common import documents_of, keep_marked
 from powerflow.operators.grouping import fact_join
 from powerflow.session import written
 
-# A chunk ends after a letter pair from this set, which occurs every few dozen characters in prose of
-# many languages, but not before MIN_CHUNK characters; text without such a pair is cut at MAX_CHUNK.
-BOUNDARY = "[aeiou][nrs][dtg]|[^\\x00-\\x7F][a-z]|[0-9][,.]"
-MIN_CHUNK = 1024
+# A chunk ends after a group of letters from this set, which prose of many languages has every few hundred
+# characters, but not before MIN_CHUNK of them. The bound is well below the mean distance of such places, so
+# texts that differ at their begin are soon cut at the same places. Where none follows, MAX_CHUNK is the end.
+BOUNDARY = "[aeiou][lnrs][dgt][aeiou]|[^\\x00-\\x7F][a-z][^\\x00-\\x7F]"
+MIN_CHUNK = 256
 MAX_CHUNK = 8192
 
 
@@ -30,7 +31,7 @@ def without_blanks(text: Column) -> Column:
 
 def chunks_of(text: Column) -> Column:
     """The text as an array of content-defined chunks; an empty text has none."""
-    pattern = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK - 3}}}?(?:{BOUNDARY})|.{{1,{MAX_CHUNK}}}"
+    pattern = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK - 4}}}?(?:{BOUNDARY})|.{{1,{MAX_CHUNK}}}"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
