@@ -20,10 +20,12 @@ from powerflow.catalogue.inputs import (
     table,
     weights,
 )
-from powerflow.catalogue.registry import query
+from powerflow.catalogue.registry import ORACLES, query
 from powerflow.catalogue.scans import BE_ROWS, FORECAST_LINES, be_documents, forecast_lines
 from powerflow.catalogue.totals import CAPACITIES, capacities
 from powerflow.operators.curtailment import POTENTIAL, PRICE
+from powerflow.plans.dispatch import FeedRun
+from powerflow.session import shared_folder
 from powerflow.sources import load_weights
 
 KW = ("solar_generation_kw", "capacity_kw", "capacity_no_degradation_kw")
@@ -52,6 +54,13 @@ def process_gsp(spark, sf_dir):
     return rounded(plans.process_gsp(raw_gsp(spark, sf_dir), "in-day"))
 
 
+# Of several polls of an area and time the newest counts.
+NEWEST_GSP = RAW_GSP.replace("raw_gsp AS", "polled AS", 1) + """,
+    raw_gsp AS (SELECT * FROM polled QUALIFY row_number() OVER (
+        PARTITION BY gsp_id, datetime_gmt ORDER BY updated_gmt DESC, capacity_mwp DESC,
+        generation_mw DESC NULLS LAST) = 1)"""
+
+
 # A source that is delivered directly, i.e. whose id is not a target, enters the sums after its
 # own zero-capacity rule.
 GB_ROWS = """ids AS (SELECT c_custkey AS gsp_id FROM customer
@@ -75,7 +84,7 @@ GB_ROWS = """ids AS (SELECT c_custkey AS gsp_id FROM customer
     areas AS (SELECT * FROM direct UNION ALL BY NAME SELECT * FROM rebuilt)"""
 
 
-@query("gb_generation", GB_COLUMNS, OBS, LOC, RAW_GSP, WEIGHTS, GB_ROWS, SETTLED.format(rows="areas"))
+@query("gb_generation", GB_COLUMNS, OBS, LOC, NEWEST_GSP, WEIGHTS, GB_ROWS, SETTLED.format(rows="areas"))
 def gb_generation(spark, sf_dir):
     """Areas that report plus the areas rebuilt from weighted sources."""
     registry = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("gsp_id"))
@@ -225,7 +234,8 @@ def no_curtailment_variant(spark, sf_dir):
     "be_generation",
     """SELECT ts AS target_datetime_utc, realtime * 1000 AS solar_generation_kw, region,
               'generation' AS forecast_type, monitoredcapacity * 1000 AS capacity_kw
-       FROM be_rows WHERE ts IS NOT NULL AND monitoredcapacity IS NOT NULL""",
+       FROM be_rows WHERE ts IS NOT NULL AND monitoredcapacity IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY region, ts ORDER BY monitoredcapacity DESC, realtime DESC) = 1""",
     OBS,
     BE_ROWS,
 )
@@ -238,7 +248,8 @@ def be_generation(spark, sf_dir):
     "be_forecast",
     """SELECT ts AS target_datetime_utc, mostrecentforecast * 1000 AS solar_generation_kw, region,
               'most_recent' AS forecast_type, monitoredcapacity * 1000 AS capacity_kw
-       FROM be_rows WHERE ts IS NOT NULL AND monitoredcapacity IS NOT NULL""",
+       FROM be_rows WHERE ts IS NOT NULL AND monitoredcapacity IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY region, ts ORDER BY monitoredcapacity DESC, mostrecentforecast DESC) = 1""",
     OBS,
     BE_ROWS,
 )
@@ -250,7 +261,8 @@ def be_forecast(spark, sf_dir):
 DE_ROWS = f"""de_rows AS (
     SELECT {DE_REGION} AS region, (ts AT TIME ZONE 'Europe/Berlin') AT TIME ZONE 'UTC' AS ts,
            power_mw * 1000 AS solar_generation_kw
-    FROM obs WHERE pct <> 0 AND event_type <> 'purchase')"""
+    FROM obs WHERE pct <> 0 AND event_type <> 'purchase'
+    QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY power_mw DESC) = 1)"""
 
 
 def de_areas(spark, sf_dir):
@@ -346,9 +358,40 @@ def ind_documents(spark, sf_dir):
              UNION ALL
              SELECT ts, 'solar', CAST(pct AS DOUBLE) FROM obs
              WHERE event_type NOT IN ('view', 'click'))
-       WHERE power * 1000 >= 0""",
+       QUALIFY row_number() OVER (PARTITION BY energy_type, date_trunc('second', ts) ORDER BY power DESC) = 1
+           AND power * 1000 >= 0""",
     OBS,
 )
 def ind_generation(spark, sf_dir):
     """First solar and wind record of each response, negative power dropped."""
     return plans.ind_generation(ind_documents(spark, sf_dir), "2024-01-31 00:00:00")
+
+
+@query(
+    "feed_dispatch_nl",
+    "SELECT * FROM delivered",
+    DAILY,
+    NL_ROWS,
+    NL_DELIVERED.replace("count(*) = 6", "count(*) = 13").format(
+        rule=f"{NL_SETTLED} AND validfrom BETWEEN TIMESTAMP '1996-06-14 09:10:00' AND TIMESTAMP '1996-06-15 12:55:00'"
+    ),
+)
+def feed_dispatch_nl(spark, sf_dir):
+    """Dutch responses landed by request date and region; here the set of regions is never complete."""
+    landing = shared_folder(spark, "landing")
+    documents = nl_documents(spark, sf_dir).filter("request_date BETWEEN '1996-06-10' AND '1996-06-20'")
+    # the table's days have no time of the day, so documents are landed whole and the window cuts them
+    documents.write.partitionBy("request_date", "region_id").text(f"{landing}/nl/generation")
+    return plans.feed_dispatch("nl", "generation", FeedRun(spark, landing, "1996-06-15 13:10:00"))
+
+
+@query(
+    "feed_dispatch_ind",
+    ORACLES["ind_generation"],
+)
+def feed_dispatch_ind(spark, sf_dir):
+    """Landed responses of Rajasthan, polled twice."""
+    landing = shared_folder(spark, "landing")
+    for _ in range(2):
+        ind_documents(spark, sf_dir).write.mode("append").text(f"{landing}/ind_rajasthan/generation")
+    return plans.feed_dispatch("ind_rajasthan", "generation", FeedRun(spark, landing, "2024-01-31 00:00:00"))

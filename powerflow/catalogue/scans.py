@@ -113,15 +113,25 @@ def landed_csv(spark: SparkSession, rows: DataFrame, purpose: str) -> str:
     return path
 
 
+def landed_differently(spark: SparkSession, rows: DataFrame, purpose: str) -> str:
+    """Two landed files at least, with the columns in another order and one more in the second half."""
+    path = shared_folder(spark, purpose)
+    turned = [F.col(name) for name in reversed(rows.columns)]
+    rows.filter("o_orderkey % 2 = 0").write.option("header", True).csv(path)
+    other = rows.filter("o_orderkey % 2 = 1").select(F.lit("a, b").alias("note"), *turned)
+    other.write.mode("append").option("header", True).csv(path)
+    return path
+
+
 @query(
     "read_feed_csv",
     "SELECT DATE_GMT, TIME_GMT, EMBEDDED_SOLAR_FORECAST FROM lines",
     FORECAST_LINES,
 )
 def read_feed_csv(spark, sf_dir):
-    """A landed CSV forecast, columns matched by header."""
+    """Landed CSV forecasts with different headers, columns matched by name."""
     return sources.read_feed_csv(
-        spark, landed_csv(spark, forecast_lines(spark, sf_dir), "feed-csv")
+        spark, landed_differently(spark, forecast_lines(spark, sf_dir), "feed-csv")
     )
 
 
@@ -242,30 +252,35 @@ def read_existing_observations(spark, sf_dir):
 @query(
     "sql_feed",
     """SELECT try_strptime(DATE_GMT[:10] || ' ' || TIME_GMT, '%Y-%m-%d %H:%M') AS target_datetime_utc,
-              EMBEDDED_SOLAR_FORECAST AS solar_generation_kw
+              CASE WHEN o_orderkey % 7 <> 0 THEN EMBEDDED_SOLAR_FORECAST END AS solar_generation_kw
        FROM lines WHERE EMBEDDED_SOLAR_FORECAST > 1000 AND target_datetime_utc IS NOT NULL""",
     FORECAST_LINES,
 )
 def sql_feed(spark, sf_dir):
-    """User SQL over the landed forecast."""
+    """User SQL over the landed forecast, in which some values are no numbers."""
     return sources.sql_feed(
         spark,
         forecast_lines(spark, sf_dir),
-        "SELECT DATE_GMT, TIME_GMT, EMBEDDED_SOLAR_FORECAST FROM feed "
+        "SELECT DATE_GMT, TIME_GMT, CASE WHEN o_orderkey % 7 = 0 THEN 'x' "
+        "ELSE CAST(EMBEDDED_SOLAR_FORECAST AS STRING) END AS EMBEDDED_SOLAR_FORECAST FROM feed "
         "WHERE EMBEDDED_SOLAR_FORECAST > 1000",
     )
 
 
-@query("list_active_ids", "SELECT DISTINCT user_id FROM events WHERE user_id <= 348")
+# Below the largest id at every scale
+MAX_ID = 40
+
+
+@query("list_active_ids", f"SELECT DISTINCT user_id FROM events WHERE user_id <= {MAX_ID}")
 def list_active_ids(spark, sf_dir):
     """Ids that report, up to the maximum."""
-    return sources.list_active_ids(table(spark, sf_dir, "events"), 348, "user_id")
+    return sources.list_active_ids(table(spark, sf_dir, "events"), MAX_ID, "user_id")
 
 
-@query("cap_ids", "SELECT event_id, user_id FROM events WHERE user_id <= 348")
+@query("cap_ids", f"SELECT event_id, user_id FROM events WHERE user_id <= {MAX_ID}")
 def cap_ids(spark, sf_dir):
     """Readings of ids up to the maximum."""
-    return sources.cap_ids(table(spark, sf_dir, "events"), 348, "user_id").select(
+    return sources.cap_ids(table(spark, sf_dir, "events"), MAX_ID, "user_id").select(
         "event_id", "user_id"
     )
 
@@ -275,7 +290,8 @@ def cap_ids(spark, sf_dir):
     """SELECT ts AS target_datetime_utc, realtime * 1000 AS solar_generation_kw, region,
               'generation' AS forecast_type, monitoredcapacity * 1000 AS capacity_kw
        FROM be_rows WHERE ts IS NOT NULL AND monitoredcapacity IS NOT NULL
-         AND ts BETWEEN TIMESTAMP '2023-12-31 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'""",
+         AND ts BETWEEN TIMESTAMP '2023-12-31 00:00:00' AND TIMESTAMP '2024-01-31 00:00:00'
+       QUALIFY row_number() OVER (PARTITION BY region, ts ORDER BY monitoredcapacity DESC, realtime DESC) = 1""",
     OBS,
     BE_ROWS,
 )
@@ -287,7 +303,7 @@ def feed_dispatch(spark, sf_dir):
     landing = shared_folder(spark, "landing")
     documents = be_documents(spark, sf_dir).select("document")
     documents.write.text(f"{landing}/be/generation")
-    run = FeedRun(spark, landing, "2024-01-31 00:00:00", backfill_hours=31 * 24, lines=True)
+    run = FeedRun(spark, landing, "2024-01-31 00:00:00", backfill_hours=31 * 24)
     return dispatch("be", "generation", run)
 
 

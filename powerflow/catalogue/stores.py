@@ -38,12 +38,16 @@ JOINED = """joined AS (
            CAST(trunc(solar_generation_kw * 1000) AS BIGINT) AS value_watts
     FROM joined WHERE NOT coalesce(solar_generation_kw > capacity_kw * 1.09::DOUBLE, false))"""
 
+# Of several values for one key the largest is stored.
+ONCE = """once AS (SELECT location_uuid, energy_source, observer_name, timestamp_utc,
+        max(value_watts) AS value_watts FROM fresh GROUP BY ALL)"""
+
 OBSERVATION = ("location_uuid", "energy_source", "observer_name", "timestamp_utc", "value_watts")
 
 
 @query(
     "save_generation",
-    """SELECT * FROM fresh f WHERE NOT EXISTS (
+    """SELECT * FROM once f WHERE NOT EXISTS (
            SELECT 1 FROM facts s WHERE s.solar_generation_kw > 5000
               AND 'loc-' || s.gsp_id = f.location_uuid AND s.target_datetime_utc = f.timestamp_utc
               AND 'pvlive_' || replace(s.regime, '-', '_') = f.observer_name)""",
@@ -52,6 +56,7 @@ OBSERVATION = ("location_uuid", "energy_source", "observer_name", "timestamp_utc
     FACTS,
     REG,
     JOINED,
+    ONCE,
 )
 def save_generation(spark, sf_dir):
     """New observations of a batch: known locations, plausible, not stored before."""
@@ -393,7 +398,7 @@ def backfill_gsp_cube(spark, sf_dir):
     )
     ids = rows.select("gsp_id").distinct()
     return plans.backfill_gsp_cube(
-        rows, ids, ids, TYPES, "2024-01-01", "2024-01-30", step="1 DAY"
+        rows, ids, ids, "2024-01-01", "2024-01-30", step="1 DAY"
     )
 
 
@@ -413,12 +418,13 @@ def write_csv(spark, sf_dir):
 @query(
     "append_observations",
     """SELECT location_uuid, energy_source, observer_name, timestamp_utc, value_watts,
-              timestamp_utc::DATE AS date FROM fresh""",
+              timestamp_utc::DATE AS date FROM once""",
     OBS,
     LOC,
     FACTS,
     REG,
     JOINED,
+    ONCE,
 )
 def append_observations(spark, sf_dir):
     """Two batches, the later one overlapping the first, into one partitioned table."""

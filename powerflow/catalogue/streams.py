@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from powerflow.catalogue.inputs import FACTS, HOME, LOC, OBS, REG, TABLES, locations, registry
+from powerflow.catalogue.inputs import FACTS, HOME, LOC, OBS, REG, TABLES, locations, registry, table
 from powerflow.catalogue.registry import query
 from powerflow.catalogue.rules import SETTLING
 from powerflow.catalogue.stores import JOINED
@@ -26,7 +26,7 @@ def landed_events(spark, sf_dir):
 
 @query(
     "stream_ingest",
-    """SELECT user_id, event_type, ts, min(CAST(trunc(value * 1000) AS BIGINT)) AS watts,
+    """SELECT user_id, event_type, ts, max(CAST(trunc(value * 1000) AS BIGINT)) AS watts,
               ts::DATE AS date FROM events GROUP BY ALL""",
 )
 def ingest(spark, sf_dir):
@@ -49,7 +49,6 @@ def ingest(spark, sf_dir):
             f"{folder}/checkpoint-{number}",
             keys=("user_id", "observer_name", "ts"),
             ts="ts",
-            order=("watts",),
             schema=schema,
         ).awaitTermination()
     stored = spark.read.schema(schema).parquet(f"{folder}/store")
@@ -89,17 +88,26 @@ def enrich_guard(spark, sf_dir):
     SETTLING,
 )
 def settled(spark, sf_dir):
-    """Rows of a poll that are settled; the file is one micro-batch."""
+    """Settled rows of landed responses, one file in each micro-batch, and the same files polled again."""
     folder = shared_folder(spark, "settled")
     minutes = F.make_dt_interval(mins=F.from_json("props", "k INT").getField("k"))
-    stream = landed_events(spark, sf_dir).select(
+    rows = table(spark, sf_dir, "events").select(
         "event_id",
         F.col("user_id").alias("location_id"),
         F.to_date("ts").alias("request_date"),
         F.col("ts").alias("validto"),
         (F.col("ts") + minutes).alias("lastupdate"),
     )
-    stream_settled(
-        stream, f"{folder}/store", f"{folder}/checkpoint", ["request_date", "location_id"]
-    ).awaitTermination()
-    return spark.read.parquet(f"{folder}/store").drop("request_date")
+    # a response holds the readings of a location and day, and is one row of a landed file
+    record = F.struct("event_id", "validto", "lastupdate")
+    responses = rows.groupBy("request_date", "location_id").agg(F.collect_list(record).alias("records"))
+    responses.repartition(4, "location_id").write.parquet(f"{folder}/landed")
+    schema = "event_id bigint, location_id bigint, validto timestamp_ntz, lastupdate timestamp_ntz"
+    for number in range(2):
+        landed = spark.readStream.schema(responses.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+        latest = F.array_max(F.transform("records", lambda r: r.getField("lastupdate")))
+        stream = landed.select("location_id", latest.alias("response_update"), F.inline("records"))
+        stream_settled(
+            stream, f"{folder}/store", f"{folder}/checkpoint-{number}", ["event_id"], schema
+        ).awaitTermination()
+    return spark.read.schema(schema).parquet(f"{folder}/store")

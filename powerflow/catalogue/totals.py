@@ -261,6 +261,42 @@ def collect_observations(spark, sf_dir):
     )
 
 
+@query(
+    "collect_observations_split",
+    """SELECT user_id, date_trunc('hour', ts) AS slot_start, CAST(count(*) AS INT) AS n_values,
+              CAST(sum(copies) AS BIGINT) AS n_rows
+       FROM (SELECT user_id % 3 AS user_id, ts, CAST(trunc(value * 1000) AS BIGINT) AS watts, count(*) AS copies
+             FROM events GROUP BY ALL)
+       GROUP BY ALL""",
+)
+def collect_observations_split(spark, sf_dir):
+    """Payloads of two values at most hold, put together, the same values."""
+    rows = table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 3).alias("user_id"), "ts", kw_to_watts(F.col("value")).alias("watts")
+    )
+    payloads = op.collect_observations(rows, ["user_id"], "ts", "watts", max_values=2)
+    values = payloads.select("user_id", "slot_start", F.inline("values")).distinct()
+    return values.groupBy("user_id", "slot_start").agg(
+        F.count(F.lit(1)).cast("int").alias("n_values"), F.sum("copies").alias("n_rows")
+    )
+
+
+@query(
+    "newest_poll",
+    """SELECT user_id, event_type, day, event_id, value FROM (
+           SELECT user_id, event_type, ts::DATE AS day, event_id, value, poll, ts FROM events, range(0, 2) t(poll)
+           WHERE poll = 0 OR event_id % 3 = 0)
+       QUALIFY row_number() OVER (PARTITION BY user_id, event_type, day ORDER BY ts DESC, poll DESC, event_id DESC) = 1""",
+)
+def newest_poll(spark, sf_dir):
+    """The last reading per location, kind and day out of two polls, the later one of a part of the rows."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).drop("props")
+    again = events.filter("event_id % 3 = 0").withColumn("poll", F.lit(1))
+    polls = events.withColumn("poll", F.lit(0)).union(again)
+    newest = op.newest_poll(polls, ["user_id", "event_type", "day"], ["ts", "poll"])
+    return newest.select("user_id", "event_type", "day", "event_id", "value")
+
+
 @query(
     "time_extent",
     """SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, max(event_id) AS last_update

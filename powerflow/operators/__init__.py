@@ -18,6 +18,7 @@ from powerflow.operators.grouping import (
     batch_max,
     first_per_key,
     latest_per_location,
+    newest_poll,
     max_over_key,
     with_group_values,
 )
@@ -107,6 +108,7 @@ __all__ = [
     "join_weights",
     "latest_capacity",
     "latest_per_location",
+    "newest_poll",
     "max_generation_default",
     "max_over_key",
     "missing_members",

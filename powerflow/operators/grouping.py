@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 
 def as_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -32,15 +34,27 @@ def fact_join(
     an aggregated side is small. A side that Catalyst can broadcast is not shuffled either way.
     """
     keys = as_list(keys)
-    types = [[frame.schema[key].dataType for key in keys] for frame in (facts, other)]
-    if types[0] != types[1]:  # equal values of different types have different hashes
-        return facts.join(other, keys, how)
-    place = F.xxhash64(*keys)
-    placed = (frame.withColumn("_place", place) for frame in (facts, other))
-    left, right = placed
+    alike = [_comparable(facts, other, key) for key in keys]
+    # equal values of different types have different hashes, so both sides hash one type
+    place = F.xxhash64(*[F.col(f"`{k}`").cast(t) if t else F.col(f"`{k}`") for k, t in zip(keys, alike, strict=True)])
+    left, right = (frame.withColumn("_place", place) for frame in (facts, other))
     return left.join(right, ["_place", *keys], how).drop("_place")
 
 
+def _comparable(facts: DataFrame, other: DataFrame, key: str) -> T.DataType | None:
+    """Type in which a key of both sides is hashed; None if the types are the same."""
+    types = [frame.schema[key].dataType for frame in (facts, other)]
+    if types[0] == types[1]:
+        return None
+    if all(isinstance(t, T.IntegralType) for t in types):
+        return T.LongType()
+    if all(isinstance(t, T.NumericType) for t in types):
+        return T.DoubleType()
+    if all(isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)) for t in types):
+        return T.TimestampType()
+    raise ValueError(f"key {key!r} is {types[0].simpleString()} on one side and {types[1].simpleString()} on the other")
+
+
 def anti_join(facts: DataFrame, other: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Facts whose key the other side does not have.
 
@@ -54,10 +68,19 @@ def anti_join(facts: DataFrame, other: DataFrame, keys: str | Sequence[str]) ->
 def with_group_values(
     df: DataFrame, keys: str | Sequence[str], values: Mapping[str, Column]
 ) -> DataFrame:
-    """Add per-key aggregates to every row of the key."""
+    """Add per-key aggregates to every row of the key; rows with a NULL key are a group as well."""
     keys = as_list(keys)
-    totals = df.groupBy(*keys).agg(*[col.alias(name) for name, col in values.items()])
-    return fact_join(df, totals, keys, "left").select(*columns_of(df), *values)
+    place = F.xxhash64(*[F.col(f"`{key}`") for key in keys])
+    totals = (
+        df.groupBy(*keys).agg(*[col.alias(name) for name, col in values.items()])
+        .withColumn("_key_place", place)
+        .withColumnsRenamed({key: f"_key_{i}" for i, key in enumerate(keys)})
+    )
+    same = F.col("_place") == F.col("_key_place")
+    for i, key in enumerate(keys):
+        same = same & F.col(f"`{key}`").eqNullSafe(F.col(f"_key_{i}"))
+    joined = df.withColumn("_place", place).join(totals, same, "left")
+    return joined.select(*columns_of(df), *values)
 
 
 def first_per_key(
@@ -72,6 +95,24 @@ def first_per_key(
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def newest_poll(
+    df: DataFrame, keys: str | Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key: the newest by the ``order`` columns, of which the first counts most.
+
+    Landing windows overlap, so a run reads the same key from several polls. Columns of ``order``
+    that the frame lacks are passed over. All other columns, the larger value first, break ties, so
+    the choice does not depend on the order of rows. NULL is the oldest and smallest value.
+    """
+    keys = as_list(keys)
+    first = [name for name in order if name in df.columns]
+    rest = sorted(
+        field.name for field in df.schema.fields
+        if field.name not in (*keys, *first) and not isinstance(field.dataType, T.MapType)
+    )
+    return first_per_key(df, keys, [F.col(f"`{name}`").desc_nulls_last() for name in (*first, *rest)])
+
+
 def latest_per_location(
     df: DataFrame,
     key: str | Sequence[str] = "location_uuid",

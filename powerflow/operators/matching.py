@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from powerflow.functions.metadata import metadata_value
 from powerflow.functions.naming import normalise_key
-from powerflow.operators.grouping import anti_join, as_list, columns_of, fact_join
+from powerflow.operators.grouping import anti_join, as_list, columns_of, fact_join, newest_poll
 from powerflow.operators.quality import drop_zero_capacity
 from powerflow.settings import CountryProfile
 
@@ -89,9 +89,10 @@ def registry_equality(a: DataFrame, b: DataFrame) -> DataFrame:
 def join_prices(
     df: DataFrame, prices: DataFrame, ts: str = "target_datetime_utc"
 ) -> DataFrame:
-    """Generation with the price of the same timestamp, if there is one."""
-    others = [name for name in prices.columns if name != ts]
-    return fact_join(df, prices, ts, "left").select(*columns_of(df), *others)
+    """Generation with the price of the same timestamp, if there is one; of several polls the newest."""
+    newest = newest_poll(prices, ts, ["landed"]).drop("landed")
+    others = [name for name in newest.columns if name != ts]
+    return fact_join(df, newest, ts, "left").select(*columns_of(df), *others)
 
 
 def drop_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from powerflow.functions.units import missing_as_null
+
 AGGREGATED = "Actual Aggregated"
 SEPARATOR = "|"
 
@@ -38,10 +40,39 @@ def pick_series(
     if not matches:
         nothing = F.lit(None).cast("double").alias(value)
         return df.select(*keep, nothing).filter(F.lit(False))
-    picked = F.col(f"`{matches[0]}`").cast("double")
+    picked = missing_as_null(F.col(f"`{matches[0]}`").cast("double"))
     return df.select(*keep, picked.alias(value)).filter(F.col(value).isNotNull())
 
 
+def pick_landed_series(
+    df: DataFrame,
+    keep: Sequence[str],
+    others: Sequence[str] = (),
+    production: str = "Solar",
+    business: str = AGGREGATED,
+    value: str = "value",
+) -> DataFrame:
+    """The series of ``pick_series`` out of lines that each bring the header of their own file.
+
+    ``df`` has the arrays ``header`` and ``cells``; ``keep`` are names in the header, ``others`` columns of
+    the frame. The column is chosen in each row, so files may differ and nothing is shuffled.
+    """
+    plain = F.transform("header", lambda name: F.regexp_replace(name, r"\.\d+$", ""))
+    open_ = F.transform(plain, lambda name: F.when(~name.isin(*keep), name))
+    aggregated = F.exists(open_, lambda name: F.endswith(name, F.lit(f"{SEPARATOR}{business}")))
+
+    def place(name: str) -> Column:
+        return F.array_position(F.col("header"), name)
+
+    exact = F.array_position(open_, f"{production}{SEPARATOR}{business}")
+    loose = F.transform(open_, lambda name: F.split_part(name, F.lit(SEPARATOR), F.lit(1)))
+    chosen = F.when(F.coalesce(aggregated, F.lit(False)), exact).otherwise(F.array_position(loose, production))
+    number = F.get("cells", (chosen - 1).cast("int")).try_cast("double")
+    picked = F.when(chosen > 0, missing_as_null(number))
+    kept = [F.get("cells", (place(name) - 1).cast("int")).alias(name) for name in keep]
+    return df.select(*kept, *others, picked.alias(value)).filter(F.col(value).isNotNull())
+
+
 def first_per_asset(
     df: DataFrame,
     records: str,

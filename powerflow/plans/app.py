@@ -11,7 +11,8 @@ from powerflow import __version__, schemas
 from powerflow.functions.naming import derive_names
 from powerflow.functions.times import as_utc
 from powerflow.operators.capacity import seed_capacity
-from powerflow.operators.matching import missing_members, unmatched_keys
+from powerflow.operators.grouping import newest_poll
+from powerflow.operators.matching import drop_existing, missing_members, unmatched_keys
 from powerflow.operators.registry import current_locations, seed_locations, upsert_forecaster
 from powerflow.plans.be import NATIONAL
 from powerflow.plans.dispatch import FeedRun, feed_dispatch
@@ -23,7 +24,7 @@ from powerflow.plans.platform import (
     with_names,
 )
 from powerflow.plans.sites import FORECAST_SITE, site_forecast, site_generation
-from powerflow.session import config_table
+from powerflow.session import config_table, shared_table
 from powerflow.settings import (
     FORECASTER_TAGS,
     NL_SITE_CAPACITY_KW,
@@ -36,6 +37,12 @@ from powerflow.sources.dimensions import packaged_locations, site_table
 from powerflow.sources.history import read_table
 
 SINKS = ("csv", "site-db", "data-platform")
+# What a stored row is known by: a run that is repeated stores nothing twice
+SITE_KEY = ("client_site_name", "energy_type", "start_utc")
+FORECAST_KEY = (
+    "forecaster_name", "forecaster_version", "location_uuid", "energy_source", "init_time_utc", "horizon_mins",
+)
+SITE_FORECAST_KEY = ("client_site_name", "ml_model_name", "forecast_version", "timestamp_utc", "start_utc")
 
 
 class Store:
@@ -122,7 +129,9 @@ def run_platform_forecast(
     if profile.country == "be":
         data = data.filter(F.col("region") == NATIONAL)
     values = save_forecast(data, store.locations(), profile, tag, version, init)
-    append_forecast(values, store.path("forecast_values"))
+    stored = store.read("forecast_values", schemas.FORECAST_VALUES)
+    fresh = drop_existing(newest_poll(values, FORECAST_KEY), stored, FORECAST_KEY)
+    append_forecast(fresh, store.path("forecast_values"))
 
 
 def stored_sites(store: Store) -> DataFrame:
@@ -150,7 +159,9 @@ def run_site_generation(store: Store, data: DataFrame, country: str, now: dateti
     before = stored_sites(store)
     sites = site_table(store.spark, country, schemas.SITES)
     saved = site_generation(data, sites, before, SITE_KEYS[country], country)
-    append_rows(saved.rows, store.path("site_generation"))
+    stored = store.read("site_generation", schemas.SITE_GENERATION)
+    fresh = drop_existing(newest_poll(saved.rows, SITE_KEY), stored, SITE_KEY)
+    append_rows(fresh, store.path("site_generation"))
     save_sites(store, before, saved.sites, now)
 
 
@@ -172,7 +183,9 @@ def run_site_forecast(
     )
     save_sites(store, before, created, now)
     rows = site_forecast(data, FORECAST_SITE, tag, version, now)
-    append_forecast(rows, store.path("site_forecast_values"), "timestamp_utc")
+    stored = store.read("site_forecast_values", schemas.SITE_FORECAST)
+    fresh = drop_existing(newest_poll(rows, SITE_FORECAST_KEY), stored, SITE_FORECAST_KEY)
+    append_forecast(fresh, store.path("site_forecast_values"), "timestamp_utc")
 
 
 def forecaster_tag(country: str, forecast_type: str) -> str:
@@ -192,12 +205,21 @@ def run_app(
     out_dir: str | None = None,
     version: str = __version__,
 ) -> bool:
-    """Read one feed and save it. False when there was nothing to save."""
+    """Read one feed and save it. False when there was nothing to save.
+
+    Landed files are read once: the delivered rows are a table in the shared folder while the run lasts,
+    and every check and sink reads that table.
+    """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}, expected one of {SINKS}")
-    data = feed_dispatch(country, kind, run)
-    if data.isEmpty():
-        return False
+    with shared_table(feed_dispatch(country, kind, run), f"delivered-{country}") as data:
+        return not data.isEmpty() and _save(run, data, country, kind, sink, store, out_dir, version)
+
+
+def _save(
+    run: FeedRun, data: DataFrame, country: str, kind: str, sink: str, store: str | None, out_dir: str | None,
+    version: str,
+) -> bool:
     now = as_utc(run.now)
     if sink == "csv":
         write_csv(data, out_dir)

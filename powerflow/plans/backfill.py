@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from powerflow.functions.units import cast_float32
+from powerflow.operators.grouping import fact_join
 from powerflow.operators.cubes import cube_columns, pivot_cube
 from powerflow.operators.matching import registry_equality
 from powerflow.operators.quality import duplicate_timestamps, grid_completeness
@@ -26,7 +27,8 @@ def backfill_regional_cube(
 ) -> DataFrame:
     """Landed regional history in [start, end) as a 32-bit time by location table.
 
-    The landed columns are datetime, region, the generation column and monitoredcapacity.
+    The landed columns are datetime, region, the generation column and monitoredcapacity. A region that
+    is not in ``ids`` is an error, as the cube would not show it.
     """
     renamed = df.select(
         F.col("datetime").alias("time_utc"),
@@ -35,6 +37,8 @@ def backfill_regional_cube(
         F.col("monitoredcapacity").alias("capacity_mwp"),
     )
     inside = time_window(renamed, "time_utc", start, end, closed="left")
+    unknown = inside.filter(~F.coalesce(F.col("location_name").isin(list(ids)), F.lit(False)))
+    _refuse(unknown.select("location_name").distinct(), "regions that are not in the list")
     cube = pivot_cube(inside, "time_utc", "location_name", CUBE_VALUES, ids)
     return cast_float32(cube, cube_columns(ids, CUBE_VALUES))
 
@@ -49,7 +53,6 @@ def backfill_gsp_cube(
     df: DataFrame,
     registry: DataFrame,
     expected: DataFrame,
-    ids: Sequence,
     start: datetime | str,
     end: datetime | str,
     step: str = "30 MINUTES",
@@ -58,7 +61,7 @@ def backfill_gsp_cube(
 ) -> DataFrame:
     """Landed area history in [start, end] as a time by area table.
 
-    The list of areas must equal the registry, a time may occur once per area and every step must
+    The areas of the cube are the expected ones. Their list must equal the registry, a time may occur once per area and every step must
     be there for every area; anything else is an error.
     """
     _refuse(registry_equality(registry, expected), "the lists of areas differ")
@@ -67,4 +70,8 @@ def backfill_gsp_cube(
     _refuse(
         grid_completeness(inside, expected.select(key), start, end, step, ts), "missing times"
     )
+    # the columns of a table: a list that the registry has confirmed
+    ids = sorted(row[0] for row in expected.select(key).distinct().collect())
+    unknown = fact_join(inside, expected.select(key).distinct(), key, "left_anti")
+    _refuse(unknown.select(key).distinct(), "areas that are not in the list")
     return pivot_cube(inside.withColumnRenamed(ts, "time_utc"), "time_utc", key, CUBE_VALUES, ids)

@@ -15,9 +15,11 @@ from powerflow.functions.naming import canonical_schema, lookup_map, tag_constan
 from powerflow.functions.times import local_to_utc
 from powerflow.functions.units import mw_to_kw
 from powerflow.operators.capacity import latest_capacity
+from powerflow.operators.grouping import newest_poll
 from powerflow.operators.matching import union_feeds
-from powerflow.operators.series import pick_series
+from powerflow.operators.series import pick_landed_series, pick_series
 from powerflow.settings import DE_AREAS, DE_PROCESS_TYPES, DE_TSO_NAMES
+from powerflow.sources.landed import LANDED
 from powerflow.sources.windows import feed_window, time_window
 
 ZONE = "Europe/Berlin"
@@ -25,13 +27,26 @@ LOCAL = "ts_local"
 
 
 def solar_series(wide: DataFrame) -> DataFrame:
-    """Solar generation of one area in UTC and kW."""
-    return pick_series(wide, [LOCAL]).select(
+    """Solar generation of one area in UTC and kW.
+
+    ``wide`` is a table with one header, or lines that bring the header of their own file.
+    """
+    landed = [name for name in (LANDED,) if name in wide.columns]
+    if "cells" in wide.columns:
+        series = pick_landed_series(wide, [LOCAL], landed)
+    else:
+        series = pick_series(wide, [LOCAL, *landed])
+    return series.select(
         local_to_utc(F.col(LOCAL), ZONE).cast("timestamp").alias("target_datetime_utc"),
         mw_to_kw(F.col("value")).alias("solar_generation_kw"),
+        *landed,
     )
 
 
+def newest_steps(series: DataFrame) -> DataFrame:
+    return newest_poll(series, ["region", "target_datetime_utc"], [LANDED])
+
+
 def de_generation(
     areas: Mapping[str, DataFrame],
     capacities: DataFrame,
@@ -52,9 +67,8 @@ def de_generation(
     # one row per known area at most, so the size of the broadcast side has a fixed bound
     known = capacities.filter(F.col("region").isin(*DE_AREAS))
     installed = F.broadcast(latest_capacity(known, "region", "year_start"))
-    joined = time_window(series, "target_datetime_utc", start, end).join(
-        installed, "region", "left"
-    )
+    inside = newest_steps(time_window(series, "target_datetime_utc", start, end))
+    joined = inside.join(installed, "region", "left")
     named = joined.withColumn("tso_zone", lookup_map(F.col("region"), DE_TSO_NAMES))
     return canonical_schema(named, "de_generation")
 
@@ -65,6 +79,5 @@ def de_forecast(wide: DataFrame, kind: str, now: datetime | str) -> DataFrame:
         raise ValueError(f"unknown forecast {kind!r}, expected one of {list(DE_PROCESS_TYPES)}")
     start, end = feed_window("de_forecast", now)
     series = time_window(solar_series(wide), "target_datetime_utc", start, end)
-    return canonical_schema(
-        tag_constants(series, region="de", forecast_type=kind), "de_forecast"
-    )
+    national = newest_steps(tag_constants(series, region="de", forecast_type=kind))
+    return canonical_schema(national, "de_forecast")

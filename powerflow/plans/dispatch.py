@@ -10,18 +10,21 @@ Layout below the landing folder:
 ``nl/<kind>/request_date=D/region_id=R``  JSON responses
 ``nl/prices``                             Parquet, day-ahead prices
 ``be/<kind>``                             JSON responses
-``de/generation/<region>``                CSV, wide production table in local time
+``de/generation/<region>``                CSV, wide production tables in local time, each with
+                                          its own header
 ``de/capacity``                           Parquet, region, year start and MW
 ``de/forecast/<type>``                    CSV, wide forecast table in local time
 ``ind_rajasthan/generation``              JSON responses
 ========================================  ====================================================
+
+JSON is landed with one response in each line. Windows overlap; of several polls of one key the newest counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +40,11 @@ from powerflow.schemas import EMPTY_FEED, RAW_GSP
 from powerflow.settings import DE_AREAS, GB_MAX_ID
 from powerflow.sources.dimensions import load_weights
 from powerflow.sources.history import table_exists
-from powerflow.sources.landed import latest_resource, read_documents, read_feed_csv
+from powerflow.sources.landed import latest_resource, read_csv_documents, read_documents, read_feed_csv
 from powerflow.sources.windows import feed_window
 
+# A response is landed on its request date, or somewhat later where clocks differ
+DAY_MARGIN = timedelta(days=1)
 KINDS = ("generation", "forecast")
 PRICES = f"target_datetime_utc timestamp, {PRICE} double"
 DE_CAPACITY = "region string, year_start timestamp, Solar double"
@@ -49,7 +54,9 @@ DE_CAPACITY = "region string, year_start timestamp, Solar double"
 class FeedRun:
     """One run of a feed: where its files are, the clock and the options of the country.
 
-    With ``lines`` every line of a landed file is one response; otherwise the whole file is.
+    Every line of a landed file is one response; without ``lines`` the whole file is. A response that is
+    not JSON fails the run; ``on_error="drop"`` leaves it out and counts it in the metrics observed as
+    ``landed_documents``. ``modified_after`` is for folders whose files keep their time of landing.
     """
 
     spark: SparkSession
@@ -61,13 +68,23 @@ class FeedRun:
     weights: object = None
     potential: bool = False
     forecast_type: str = "day_ahead"
-    lines: bool = False
+    lines: bool = True
+    on_error: str = "fail"
+    modified_after: datetime | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.landing.rstrip("/"), *parts])
 
     def documents(self, *parts: str, since: datetime | None = None) -> DataFrame:
-        return read_documents(self.spark, self.path(*parts), since, whole=not self.lines)
+        day = since.date() - DAY_MARGIN if since else None
+        found = read_documents(self.spark, self.path(*parts), not self.lines, day, self.modified_after)
+        if self.on_error == "fail":
+            return found
+        if self.on_error != "drop":
+            raise ValueError(f"unknown choice on errors {self.on_error!r}, expected fail or drop")
+        readable = F.try_parse_json("document").isNotNull()
+        seen = found.observe("landed_documents", F.count(F.lit(1)).alias("read"), F.count_if(~readable).alias("dropped"))
+        return seen.filter(readable)
 
 
 def _gb_generation(run: FeedRun) -> DataFrame:
@@ -118,7 +135,7 @@ def _be_forecast(run: FeedRun) -> DataFrame:
 
 
 def _wide_csv(run: FeedRun, *parts: str) -> DataFrame:
-    return run.spark.read.option("header", True).csv(run.path(*parts))
+    return read_csv_documents(run.spark, run.path(*parts))
 
 
 def _de_generation(run: FeedRun) -> DataFrame:

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 from powerflow.functions.naming import canonical_schema, tag_constants
 from powerflow.functions.times import parse_date_time
 from powerflow.functions.units import missing_as_null, mw_to_kw
-from powerflow.operators.grouping import columns_of, fact_join
+from powerflow.operators.grouping import columns_of, fact_join, newest_poll
 from powerflow.operators.matching import exclude_merge_targets, union_feeds
 from powerflow.operators.quality import apply_area_flags, settle_areas
 from powerflow.operators.reconstruction import MEASURES, reconstruct_weighted
-from powerflow.session import written
 from powerflow.settings import GB_MAX_ID
 from powerflow.sources.dimensions import cap_ids, list_active_ids
+from powerflow.sources.landed import LANDED
 from powerflow.sources.windows import feed_window, time_window
 
 REGIMES = ("in-day", "day-after")
+AREA_KEY = ("gsp_id", "datetime_gmt")
+POLL_ORDER = ("updated_gmt", LANDED)
 
 
 def _check_regime(regime: str) -> None:
@@ -27,6 +29,10 @@ def _check_regime(regime: str) -> None:
         raise ValueError(f"unknown regime {regime!r}, expected one of {REGIMES}")
 
 
+def with_missing(raw: DataFrame) -> DataFrame:
+    return raw.withColumns({name: missing_as_null(F.col(name)) for name in MEASURES})
+
+
 def delivered(settled: DataFrame, regime: str) -> DataFrame:
     """Settled area rows in kW with the delivered columns."""
     kw = {
@@ -42,7 +48,7 @@ def delivered(settled: DataFrame, regime: str) -> DataFrame:
 def process_gsp(df: DataFrame, regime: str) -> DataFrame:
     """Quality rules, units and delivered columns, for all grid areas at once."""
     _check_regime(regime)
-    return delivered(settle_areas(df, "gsp_id"), regime)
+    return delivered(settle_areas(with_missing(df), "gsp_id"), regime)
 
 
 def wanted_areas(
@@ -91,18 +97,17 @@ def gb_generation(
     The maximum id applies to both, but not to the sources. A source that is also delivered
     directly enters the sums after its own zero-capacity rule.
 
-    Both parts need the totals of each area. They are computed in one pass and written, one row
-    per wanted area. While that table is small enough to be broadcast, the raw rows are not
-    shuffled at all on their way to the direct part and to the weighted sums.
+    Only the newest poll of an area and time counts. Totals, direct part and weighted sums all start
+    from that one shuffle, which Spark runs once.
     """
     _check_regime(regime)
     start, end = feed_window(f"gb_{regime}", now, backfill_hours)
-    rows = time_window(raw, "datetime_gmt", start, end).withColumns(
-        {name: missing_as_null(F.col(name)) for name in MEASURES}
+    rows = newest_poll(
+        with_missing(time_window(raw, "datetime_gmt", start, end)), AREA_KEY, POLL_ORDER
     )
     targets = cap_ids(weights, max_id, "target")
     wanted = wanted_areas(registry, weights, targets, max_id)
-    totals = written(area_totals(rows, wanted), "area-totals")
+    totals = area_totals(rows, wanted)
     flags = totals.select("gsp_id", "is_direct", "no_capacity", "no_generation")
     flagged = fact_join(rows, flags, "gsp_id", "inner").select(
         *columns_of(rows), "is_direct", "no_capacity", "no_generation"

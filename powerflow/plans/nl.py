@@ -16,10 +16,11 @@ from powerflow.functions.times import parse_iso_utc
 from powerflow.functions.units import capacity_from_percentage
 from powerflow.operators.capacity import validate_capacity
 from powerflow.operators.curtailment import potential_generation
+from powerflow.operators.grouping import newest_poll
 from powerflow.operators.quality import flag_small_percentage
 from powerflow.schemas import NL_RECORD
 from powerflow.settings import NL_REGION_IDS
-from powerflow.sources.landed import records_array
+from powerflow.sources.landed import LANDED, records_array
 from powerflow.sources.windows import feed_window, time_window
 
 REQUEST = ("request_date", "region_id")
@@ -30,13 +31,13 @@ def nl_records(raw: DataFrame) -> DataFrame:
 
     ``response_update`` is the latest update within the response a record came with.
     """
-    records = raw.select(
-        *REQUEST, records_array(F.col("document"), "hydra:member[]", NL_RECORD).alias("records")
-    )
+    known = [*REQUEST, *[name for name in (LANDED,) if name in raw.columns]]
+    array = records_array(F.col("document"), "hydra:member[]", NL_RECORD, strict=True)
+    records = raw.select(*known, array.alias("records"))
     latest = F.array_max(
         F.transform("records", lambda record: parse_iso_utc(record.getField("lastupdate")))
     )
-    flat = records.select(*REQUEST, latest.alias("response_update"), F.inline("records"))
+    flat = records.select(*known, latest.alias("response_update"), F.inline("records"))
     times = {n: parse_iso_utc(F.col(n)) for n in ("validfrom", "validto", "lastupdate")}
     return flat.withColumns(times)
 
@@ -61,6 +62,11 @@ def nl_delivered(records: DataFrame, region_ids: Sequence[int]) -> DataFrame:
     return validate_capacity(canonical_schema(totals, "nl"), region_ids)
 
 
+def newest_records(records: DataFrame) -> DataFrame:
+    """The newest record per region and period. Rules within a response come before."""
+    return newest_poll(records, ["region_id", "validfrom"], ["lastupdate", "response_update", LANDED])
+
+
 def _windowed(records: DataFrame, feed: str, now: datetime | str | None) -> DataFrame:
     if now is None:
         return records
@@ -79,7 +85,8 @@ def nl_generation(
     Without ``now`` everything that has landed.
     """
     settled = settled_records(nl_records(raw))
-    delivered = nl_delivered(_windowed(settled, "nl_generation", now), region_ids)
+    newest = newest_records(_windowed(settled, "nl_generation", now))
+    delivered = nl_delivered(newest, region_ids)
     return delivered if prices is None else potential_generation(delivered, prices)
 
 
@@ -87,4 +94,5 @@ def nl_forecast(
     raw: DataFrame, now: datetime | str | None, region_ids: Sequence[int] = NL_REGION_IDS
 ) -> DataFrame:
     """National forecast from two hours back to seven days ahead."""
-    return nl_delivered(_windowed(nl_records(raw), "nl_forecast", now), region_ids)
+    newest = newest_records(_windowed(nl_records(raw), "nl_forecast", now))
+    return nl_delivered(newest, region_ids)

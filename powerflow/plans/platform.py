@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from powerflow.functions.metadata import metadata_value
 from powerflow.functions.naming import derive_names
 from powerflow.functions.times import drop_past_horizon, forecast_horizon, utc_literal
-from powerflow.functions.units import kw_to_watts, p50_fraction
+from powerflow.functions.units import kw_to_watts, missing_as_null, p50_fraction
 from powerflow.operators.capacity import capacity_updates, max_generation_default
 from powerflow.operators.curtailment import POTENTIAL
+from powerflow.operators.grouping import newest_poll
 from powerflow.operators.matching import country_isolation, drop_existing, join_locations
 from powerflow.operators.quality import drop_over_capacity
 from powerflow.operators.registry import capacity_history
@@ -58,14 +59,13 @@ def with_names(df: DataFrame, profile: CountryProfile) -> DataFrame:
 
 def enriched_observations(joined: DataFrame) -> DataFrame:
     """Whole watts per location and time, above-capacity and missing values removed."""
-    plausible = drop_over_capacity(joined).filter(F.col("solar_generation_kw").isNotNull())
-    return plausible.select(
+    return drop_over_capacity(joined).select(
         "location_uuid",
         "energy_source",
         "observer_name",
         F.col("target_datetime_utc").alias("timestamp_utc"),
-        kw_to_watts(F.col("solar_generation_kw")).alias("value_watts"),
-    )
+        kw_to_watts(missing_as_null(F.col("solar_generation_kw"))).alias("value_watts"),
+    ).filter(F.col("value_watts").isNotNull())
 
 
 def save_generation(
@@ -76,7 +76,8 @@ def save_generation(
 ) -> SavedGeneration:
     """Capacity history and new observations of a batch.
 
-    The two results share scan and join but not columns, so each prunes its own. Stored rows are
+    The two results share scan and join but not columns, so each prunes its own. A key is stored once,
+    with the larger of two values should the feed have both. Stored rows are
     matched on the whole key, whatever their date; the batch's first timestamp bounds what is read
     and comes from the feed itself, a superset of the joined rows that needs no join.
     """
@@ -84,7 +85,7 @@ def save_generation(
     facts = max_generation_default(named, profile.id_key)
     joined = join_locations(facts, country_locations(registry, profile), profile)
     capacity = capacity_history(capacity_updates(joined))
-    fresh = enriched_observations(joined)
+    fresh = newest_poll(enriched_observations(joined), OBSERVATION_KEY)
     stored = since_batch(existing, df, "timestamp_utc", "target_datetime_utc")
     observations = drop_existing(fresh, stored, OBSERVATION_KEY)
     return SavedGeneration(capacity, observations, joined)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +25,6 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-# Configuration tables (weights, sites, areas) come from the driver. Anything larger than this
-# belongs in a Parquet table, where the optimizer sees its size.
-MAX_CONFIG_ROWS = 100_000
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to a running session."""
@@ -56,8 +53,6 @@ def config_table(spark: SparkSession, rows: Sequence[dict], schema: str) -> Data
     Going through Arrow gives a local relation, so Catalyst broadcasts it on its measured size and
     not on a hint.
     """
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError(f"{len(rows)} configuration rows, the limit is {MAX_CONFIG_ROWS}")
     if not rows:
         return spark.createDataFrame([], schema)
     struct = T.StructType.fromDDL(schema)
@@ -79,6 +74,22 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(tempfile.mkdtemp(prefix="powerflow-"), purpose)
 
 
+@contextmanager
+def shared_table(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The frame as a table in the shared folder for the time of a block, computed once.
+
+    The table's files are removed at the end of the block, also after an error.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a table in the shared folder, computed once.
 

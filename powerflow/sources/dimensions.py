@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Mapping
-from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +49,17 @@ def _parse_config(text: str, path: str) -> dict:
     return yaml.safe_load(text) or {}
 
 
+def _text_of(spark: SparkSession, path: str) -> str:
+    """Text of a configuration file in any store Spark reads; a missing file is empty."""
+    try:
+        found = spark.read.text(path, wholetext=True).collect()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return ""
+        raise
+    return "\n".join(row[0] for row in found)
+
+
 def load_weights(
     spark: SparkSession, config: Mapping | str | DataFrame | None = None
 ) -> DataFrame:
@@ -72,7 +82,7 @@ def load_weights(
         config = GB_MERGE_WEIGHTS
     elif isinstance(config, str):
         path = config
-        config = _parse_config(Path(path).read_text(), path) if os.path.exists(path) else {}
+        config = _parse_config(_text_of(spark, path), path)
     rows = []
     for target, entry in config.items():
         sources = (entry or {}).get("pvlive_merge_weights") if isinstance(entry, Mapping) else entry

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,22 +13,34 @@ from pyspark.sql import types as T
 from powerflow.functions.times import parse_date_time
 from powerflow.schemas import EMPTY_FEED, GB_FORECAST_RECORD, RESOURCE_RECORD
 
+LANDED = "landed"  # when a response was landed, which tells polls apart
+
 
 def read_documents(
-    spark: SparkSession, path: str, modified_after: datetime | None = None, whole: bool = True
+    spark: SparkSession,
+    path: str,
+    whole: bool = False,
+    since: date | None = None,
+    modified_after: datetime | None = None,
 ) -> DataFrame:
-    """One row per landed response: its text as ``document`` plus the folder's partitions.
+    """One row per landed response: its text as ``document``, when it ``landed``, and the partitions.
 
-    A file is one API response, which the provider pages or limits to a day, so it stays small.
-    When responses are landed one per line (not ``whole``), files may have any size and are split.
-    Files last modified before ``modified_after`` are not opened: a measurement cannot land before
-    it was taken, so a look-back window never needs older files.
+    Every line is one response, so files may have any size and are split. With ``whole`` a file is one
+    response. Blank lines are none. ``since`` prunes folders by their ``request_date``, where there is
+    one. ``modified_after`` is for landing folders whose files keep their time of landing: older ones
+    are not opened.
     """
     reader = spark.read
     if modified_after is not None:
         stamp = modified_after.strftime("%Y-%m-%dT%H:%M:%S")
         reader = reader.option("modifiedAfter", stamp).option("timeZone", "UTC")
-    return reader.text(path, wholetext=whole).withColumnRenamed("value", "document")
+    rows = reader.text(path, wholetext=whole)
+    others = [F.col(name) for name in rows.columns if name != "value"]
+    landed = F.col("_metadata.file_modification_time").alias(LANDED)
+    rows = rows.select(F.col("value").alias("document"), landed, *others)
+    if since is not None and "request_date" in rows.columns:
+        rows = rows.filter(F.col("request_date").cast("date") >= F.lit(since))
+    return rows.filter(F.trim("document") != "")
 
 
 def _envelope(path: str, record: str) -> tuple[T.DataType, list[str], list[str]]:
@@ -81,13 +93,48 @@ def flatten_records(
     return exploded.select(*keep, "pos", "_record.*")
 
 
+def read_csv_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One row per data line of landed CSV files: ``header`` and ``cells`` as arrays, and ``landed``.
+
+    Each file is one response with a header of its own, so files may differ in columns and order.
+    """
+    files = spark.read.text(path, wholetext=True)
+    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
+    rows = files.select(lines.alias("lines"), F.col("_metadata.file_modification_time").alias(LANDED))
+    rows = rows.filter(F.size("lines") > 1)
+    return rows.select(
+        _cells(F.regexp_replace(F.get("lines", F.lit(0)), "^\ufeff", "")).alias("header"), LANDED,
+        F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"),
+    ).select("header", _cells(F.col("line")).alias("cells"), LANDED)
+
+
+def _cells(line: Column) -> Column:
+    """Cells of a CSV line. A comma within quotes does not part cells; empty cells are NULL."""
+    parts = F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+
+    def plain(cell: Column) -> Column:
+        text = F.trim(cell)
+        quoted = F.startswith(text, F.lit('"')) & F.endswith(text, F.lit('"')) & (F.length(text) > 1)
+        inner = F.replace(F.substring(text, F.lit(2), F.length(text) - 2), F.lit('""'), F.lit('"'))
+        return F.nullif(F.when(quoted, inner).otherwise(text), F.lit(""))
+
+    return F.transform(parts, plain)
+
+
+def named_cell(name: str) -> Column:
+    """The cell below a column's name; a header without it is an error."""
+    place = F.array_position("header", name)
+    missing = F.raise_error(F.concat(F.lit(f"no column {name} in "), F.array_join("header", ",")))
+    return F.when(place == 0, missing.cast("string")).otherwise(F.get("cells", (place - 1).cast("int")))
+
+
 def read_feed_csv(
     spark: SparkSession, path: str, schema: str = GB_FORECAST_RECORD
 ) -> DataFrame:
-    """CSV with a header; columns are matched by name, so their order in the file is free."""
+    """CSV with a header in each file; columns are matched by name, so their order is free."""
     wanted = T.StructType.fromDDL(schema)
-    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    return text.select(*[F.col(field.name).cast(field.dataType) for field in wanted])
+    rows = read_csv_documents(spark, path)
+    return rows.select(*[named_cell(f.name).cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def latest_resource(df: DataFrame, text: str = "document") -> DataFrame:
@@ -105,18 +152,24 @@ def newest_path(df: DataFrame, keys: Sequence[str], path: str, modified: Sequenc
 def sql_feed(
     spark: SparkSession, feed: DataFrame, sql: str, view: str = "feed", scale: float = 1.0
 ) -> DataFrame:
-    """User SQL over a forecast feed registered as ``view``, then the usual date and time parse.
+    """User SQL over a forecast feed that it names as ``view``, then the usual date and time parse.
 
-    SQL that cannot be analysed gives an empty feed; rows with a bad timestamp are dropped. The
-    value is passed on unscaled unless ``scale`` says otherwise.
+    SQL that cannot be analysed gives an empty feed; rows with a bad timestamp are dropped and a value
+    that is no number is NULL. The value is passed on unscaled unless ``scale`` says otherwise. A view
+    of the session with the same name is there again afterwards.
     """
+    before = spark.table(view) if spark.catalog.tableExists(view) else None
     feed.createOrReplaceTempView(view)
     try:
         rows = spark.sql(sql)
         parsed = rows.select(
             parse_date_time(F.col("DATE_GMT"), F.col("TIME_GMT")).alias("target_datetime_utc"),
-            (F.col("EMBEDDED_SOLAR_FORECAST") * F.lit(scale)).alias("solar_generation_kw"),
+            (F.col("EMBEDDED_SOLAR_FORECAST").try_cast("double") * F.lit(scale)).alias("solar_generation_kw"),
         )
     except (AnalysisException, ParseException):
         return spark.createDataFrame([], EMPTY_FEED)
+    finally:
+        spark.catalog.dropTempView(view)
+        if before is not None:
+            before.createOrReplaceTempView(view)
     return parsed.filter(F.col("target_datetime_utc").isNotNull())

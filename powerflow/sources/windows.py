@@ -4,19 +4,26 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from powerflow.functions.times import as_utc, utc_literal
-from powerflow.session import config_table
 
 HALF_HOUR = timedelta(minutes=30)
-CHUNKS = "chunk_no int, chunk_start timestamp_ntz, chunk_end timestamp_ntz"
+EPOCH = datetime(1970, 1, 1)
+MICROSECOND = timedelta(microseconds=1)
 
 
-def _ceil(moment: datetime, step: timedelta) -> datetime:
-    past = (moment - datetime(1970, 1, 1)) % step
-    return moment if not past else moment + step - past
+def _micros(moment: datetime) -> int:
+    return (moment - EPOCH) // MICROSECOND
+
+
+def _moment(micros: Column) -> Column:
+    """Microseconds since 1970 as a timestamp without a zone."""
+    start = F.lit(EPOCH.isoformat(sep=" ")).cast("timestamp_ntz")
+    return start + F.make_dt_interval(
+        F.floor(micros / 86_400_000_000).cast("int"), secs=(F.pmod(micros, F.lit(86_400_000_000)) / F.lit(1_000_000)).cast("decimal(18,6)")
+    )
 
 
 def time_chunks(
@@ -30,21 +37,33 @@ def time_chunks(
 
     With ``step`` every chunk has that length, the last one is clipped to the end and empty ones
     are left out (a step of one day gives daily requests). With ``n`` there are n equal chunks
-    whose bounds are rounded up to the half hour.
+    whose bounds are rounded up to the half hour. Spark makes the rows, so there may be any number.
     """
     start, end = as_utc(start), as_utc(end)
     if (step is None) == (n is None):
         raise ValueError("give either a step or a number of chunks")
-    bounds = []
+    first, length = _micros(start), max(0, _micros(end) - _micros(start))
     if step is not None:
-        while start < end:
-            bounds.append((start, min(start + step, end)))
-            start += step
+        width = step // MICROSECOND
+        rows = spark.range(-(-length // width)).select(
+            F.col("id").cast("int").alias("chunk_no"),
+            (F.lit(first) + F.col("id") * width).alias("low"),
+            F.least(F.lit(first) + (F.col("id") + 1) * width, F.lit(first + length)).alias("high"),
+        )
     else:
-        edges = [_ceil(start + (end - start) * i / n, HALF_HOUR) for i in range(n + 1)]
-        bounds = [(a, b) for a, b in zip(edges, edges[1:], strict=False) if a < b]
-    rows = [{"chunk_no": i, "chunk_start": a, "chunk_end": b} for i, (a, b) in enumerate(bounds)]
-    return config_table(spark, rows, CHUNKS)
+        half_hour = HALF_HOUR // MICROSECOND
+
+        def edge(number: Column) -> Column:
+            """Bound of that number, rounded up to the half hour."""
+            exact = F.lit(first) + F.floor(number * F.lit(length) / n)
+            return F.ceil(exact / half_hour).cast("long") * half_hour
+
+        low, high = edge(F.col("id")), edge(F.col("id") + 1)
+        rows = spark.range(n).select("id", low.alias("low"), high.alias("high")).filter("low < high")
+        # chunks shorter than half an hour can be empty; n is a number of requests and not of facts
+        number = F.row_number().over(Window.orderBy("id")) - 1
+        rows = rows.select(number.cast("int").alias("chunk_no"), "low", "high")
+    return rows.select("chunk_no", _moment(F.col("low")).alias("chunk_start"), _moment(F.col("high")).alias("chunk_end"))
 
 
 def feed_window(

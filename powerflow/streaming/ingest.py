@@ -3,7 +3,8 @@
 Polls overlap on purpose, so the same (location, time, observer) arrives several times and in any
 order. Each is stored once by an anti join against the stored table in every micro-batch. State
 with a watermark would forget keys and drop late rows, so none is kept; a micro-batch that is
-repeated after a lost executor finds its rows already stored.
+repeated after a lost executor finds its rows already stored. Rules that compare rows work within one
+response, so results do not depend on how files fall into micro-batches.
 """
 
 from __future__ import annotations
@@ -12,15 +13,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from powerflow.operators.grouping import first_per_key
+from powerflow.operators.grouping import newest_poll
 from powerflow.operators.matching import drop_existing, join_locations
-from powerflow.operators.quality import trim_unsettled
 from powerflow.plans.platform import OBSERVATION_KEY, enriched_observations, with_names
 from powerflow.schemas import OBSERVATIONS_STORED
 from powerflow.settings import CountryProfile
 from powerflow.sinks.tables import append_observations, append_rows
+from powerflow.sources.landed import LANDED
 from powerflow.sources.history import read_table, since_batch
 
 
@@ -42,16 +44,19 @@ def stream_ingest(
     checkpoint: str,
     keys: Sequence[str] = OBSERVATION_KEY,
     ts: str = "timestamp_utc",
-    order: Sequence[str] = ("value_watts",),
+    order: Sequence[str] = (LANDED,),
     schema: str = OBSERVATIONS_STORED,
 ) -> StreamingQuery:
     """Store each key once, whatever the number and order of its arrivals.
 
-    What is stored first stays. ``order`` decides between rows of one micro-batch.
+    What is stored first stays. Of rows in one micro-batch the newest poll counts, by the ``order`` columns
+    that the stream has.
     """
 
+    fields = T.StructType.fromDDL(schema).fieldNames()
+
     def write(batch: DataFrame, _: int) -> None:
-        unique = first_per_key(batch, keys, [F.col(name) for name in order])
+        unique = newest_poll(batch, keys, order).drop(*[c for c in order if c not in fields])
         stored = since_batch(read_table(batch.sparkSession, store, schema), batch, ts, ts)
         append_observations(drop_existing(unique, stored, keys), store, ts)
 
@@ -72,17 +77,26 @@ def stream_settled(
     stream: DataFrame,
     store: str,
     checkpoint: str,
-    batch_keys: Sequence[str],
+    keys: Sequence[str],
+    schema: str,
     lag: str = "15 minutes",
     validto: str = "validto",
     lastupdate: str = "lastupdate",
+    response_update: str = "response_update",
 ) -> StreamingQuery:
-    """Append only rows that ended more than ``lag`` before their batch's latest update.
+    """Store each key of the settled rows once.
 
-    Held back rows come again, corrected, with a later poll.
+    A row is settled if it ended more than ``lag`` before the latest update of the response it came with,
+    which the stream brings as ``response_update`` (a response is one document, so it is known row by
+    row). Held back rows come again, corrected, with a later poll. The newest of a micro-batch counts;
+    what is stored first stays.
     """
+    ripe = F.col(validto) < F.col(response_update) - F.expr(f"INTERVAL {lag}")
+    fields = T.StructType.fromDDL(schema).fieldNames()
 
     def write(batch: DataFrame, _: int) -> None:
-        append_rows(trim_unsettled(batch, batch_keys, validto, lastupdate, lag), store)
+        newest = newest_poll(batch.filter(ripe), keys, [lastupdate, response_update])
+        stored = read_table(batch.sparkSession, store, schema)
+        append_rows(drop_existing(newest, stored, keys).select(*fields), store)
 
     return run_available(stream, write, checkpoint)
