@@ -29,7 +29,7 @@ from powerflow.llm.words import NOT_BLANK, mix, pieces, split_words
 
 PAIR_BITS = 40
 SPREAD = 32
-FLUSH_TOKENS = 1 << 21  # pairs that a task holds before it packs them
+FLUSH_TOKENS = 3 << 19  # pairs that a task holds before it packs them
 BASE_PRIOR = 0.1
 
 _CUT = np.uint64(64 - PAIR_BITS)
@@ -436,7 +436,7 @@ def log_scores(text: Column, totals: Totals) -> Column:
     def scores(column: pa.Array) -> pa.Array:
         model = model_of(totals)
         out = []
-        for piece in pieces(pa.RecordBatch.from_arrays([column], ["text"]), "text", 1 << 22):
+        for piece in pieces(pa.RecordBatch.from_arrays([column], ["text"]), "text", 1 << 20):
             tokens, first = tokens_of(piece.column("text"))
             count, base, score = model.score(tokens, contexts_of(tokens, first))
             begin = first[:-1]
