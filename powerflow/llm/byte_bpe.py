@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bounds of what a worker remembers; beyond them it starts anew, results stay the same.
-MAX_PAIRS = 1 << 20
-MAX_WORDS = 1 << 19
-MAX_MOVES = 1 << 19
+MAX_PAIRS = 1 << 17
+MAX_WORDS = 1 << 17
+MAX_MOVES = 1 << 17
 SLICE_IDS = 1 << 16
 
 # White space and controls on which engines differ; texts that hold one are not cut.
@@ -61,20 +61,21 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # vocabulary tree: node -> byte -> node; node -> the token that ends there
-        self.next: list[dict[int, int]] = [{}]
-        self.ends: list[int | None] = [None]
+        # vocabulary tree: node and byte -> node; node -> the token that ends there
+        self.next: dict[int, int] = {}
+        self.ends: dict[int, int] = {}
+        nodes = 1
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                child = self.next[node].get(byte)
-                if child is None:
-                    child = len(self.next)
-                    self.next[node][byte] = child
-                    self.next.append({})
-                    self.ends.append(None)
-                node = child
+                key = node << 8 | byte
+                node = self.next.get(key, 0)
+                if not node:
+                    node = self.next[key] = nodes
+                    nodes += 1
             self.ends[node] = rank
+        self.parts: dict[int, tuple[int, int] | None] = {}
+        self.never = max(ranks.values(), default=0) + 2  # a rank after all others
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.reset()
@@ -97,21 +98,65 @@ class Transducer:
         """Whether the token's own bytes encode to it."""
         known = self.whole.get(token)
         if known is None:
-            known = self.whole[token] = merge_by_rank(self.tokens[token], self.ranks) == [token]
+            data = self.tokens[token]
+            if len(data) > 1:
+                parts = self.split(token)
+                known = parts is not None and len(parts) == 2
+            else:
+                known = True
+            self.whole[token] = known
         return known
 
+    def split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens that the token is merged from last; None for a single byte."""
+        if token not in self.parts:
+            data = self.tokens[token]
+            # without its own rank the bytes stop one merge short of the token
+            ranks = self.ranks
+            found = None
+            if len(data) > 1:
+                del ranks[data]
+                parts = merge_by_rank(data, ranks)
+                ranks[data] = token
+                found = (parts[0], parts[1]) if len(parts) == 2 else None
+            self.parts[token] = found
+        return self.parts[token]
+
     def fits(self, left: int, right: int) -> bool:
-        """Whether two tokens stay apart when their bytes are encoded together."""
+        """Whether two tokens stay apart when their bytes are encoded together.
+
+        Only merges across the border could join them. From the last merges of both tokens backwards, the pair that
+        meets at the border is asked for at each point in time: it would be merged if its rank comes before that of the merge
+        that takes one of the two away from the border. On equal ranks the left one of two places comes first.
+        """
         if left < 0:
             return True
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            joined = self.tokens[left] + self.tokens[right]
-            known = self.pairs[left, right] = merge_by_rank(joined, self.ranks) == [left, right]
+            known = self.pairs[left, right] = self._apart(left, right)
         return known
 
+    def _apart(self, left: int, right: int) -> bool:
+        ranks, tokens = self.ranks, self.tokens
+        a, b = left, right
+        # ranks at which the present pair stops being neighbours: a merge into left or right consumes it
+        until = self.never
+        while True:
+            rank = ranks.get(tokens[a] + tokens[b])
+            if rank is not None and rank < until:
+                return False
+            inner, outer = self.split(a), self.split(b)
+            if inner is None and outer is None:
+                return True
+            # the later of the two merges is undone first
+            if outer is None or inner is not None and a > b:
+                until, a = a, inner[1]
+            else:
+                # a merge of the same rank further right comes after one at the border
+                until, b = b + 1, outer[0]
+
     def move(self, state: int, byte: int) -> tuple[int, int, tuple]:
         """Next state, the token that ends here (-1: none) and the open starts' positions kept.
 
@@ -124,12 +169,12 @@ class Transducer:
             return known
         open_, kept, left = [], [], -2
         for i, (node, before) in enumerate(self.open[state]):
-            node = self.next[node].get(byte)
+            node = self.next.get(node << 8 | byte)
             if node is None:
                 continue
             open_.append((node, before))
             kept.append(i)
-            token = self.ends[node]
+            token = self.ends.get(node)
             if token is not None and left == -2 and self.reachable(token) and self.fits(before, token):
                 left = i
                 ended = token
