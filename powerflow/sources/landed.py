@@ -103,7 +103,7 @@ def read_csv_documents(spark: SparkSession, path: str) -> DataFrame:
     rows = files.select(lines.alias("lines"), F.col("_metadata.file_modification_time").alias(LANDED))
     rows = rows.filter(F.size("lines") > 1)
     return rows.select(
-        _cells(F.regexp_replace(F.get("lines", F.lit(0)), "^\ufeff", "")).alias("header"), LANDED,
+        F.transform(_cells(F.regexp_replace(F.get("lines", F.lit(0)), "^\ufeff", "")), F.trim).alias("header"), LANDED,
         F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"),
     ).select("header", _cells(F.col("line")).alias("cells"), LANDED)
 
@@ -116,7 +116,7 @@ def _cells(line: Column) -> Column:
         text = F.trim(cell)
         quoted = F.startswith(text, F.lit('"')) & F.endswith(text, F.lit('"')) & (F.length(text) > 1)
         inner = F.replace(F.substring(text, F.lit(2), F.length(text) - 2), F.lit('""'), F.lit('"'))
-        return F.nullif(F.when(quoted, inner).otherwise(text), F.lit(""))
+        return F.nullif(F.when(quoted, inner).otherwise(cell), F.lit(""))
 
     return F.transform(parts, plain)
 

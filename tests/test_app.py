@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 from dataclasses import replace
 from datetime import timedelta
 
@@ -121,7 +122,7 @@ def test_great_britain_generation_and_forecast(spark, run, tmp_path, frame):
     for _ in range(2):
         assert run_to(run, tmp_path, "gb", "forecast", "data-platform")
     values = spark.read.parquet(store.path("forecast_values"))
-    assert rows(values.distinct(), "horizon_mins", "p50_fraction") == [(0, 0.05), (30, 0.1)]
+    assert rows(values, "horizon_mins", "p50_fraction") == [(0, 0.05), (30, 0.1)]
     assert spark.read.parquet(store.path("forecasters")).count() == 1
     with pytest.raises(ValueError, match="sites store"):
         run_to(run, tmp_path, "gb", "generation", "site-db")
@@ -139,15 +140,67 @@ def test_germany_from_wide_csv(spark, run, tmp_path, frame):
     put(landing / "forecast/current", "a.csv", "ts_local,Solar\n2026-01-18 11:00:00,10\n")
     later = replace(run, forecast_type="current")
     assert plans.feed_dispatch("de", "forecast", later).count() == 1
-    assert run_to(run, tmp_path, "de", "generation", "site-db")
+    for _ in range(2):
+        assert run_to(run, tmp_path, "de", "generation", "site-db")
     store = Store(spark, str(tmp_path / "store"))
     assert rows(spark.read.parquet(store.path("sites")), "client_site_name", "capacity_kw") == [("50Hertz", 18_000)]
+    assert spark.read.parquet(store.path("site_generation")).count() == 1
     assert run_to(run, tmp_path, "de", "generation", "data-platform")
     assert run_to(later, tmp_path, "de", "forecast", "data-platform")
     values = spark.read.parquet(store.path("forecast_values"))
     assert rows(values, "forecaster_name", "horizon_mins") == [("entsoe_de_current", 60)]
 
 
+def test_overlapping_polls_are_stored_once(spark, run, tmp_path, frame):
+    """The same key in three polls: the newest value counts, in sums and in the store."""
+    records = [{"datetime": "2026-01-18T08:00:00Z", "region": "Belgium", "monitoredcapacity": 50, "realtime": v} for v in (4, 6, 9)]
+    put(tmp_path / "landing/be/generation", "a.json", json.dumps({"results": records[:2]}) + "\n" + json.dumps({"results": records[2:]}))
+    assert run_to(run, tmp_path, "be", "generation", "data-platform")
+    assert rows(Store(spark, str(tmp_path / "store")).observations(), "value_watts") == [(9_000_000,)]
+
+    data = [gsp(350, at("2026-01-18 09:00"), v, updated=NOW + timedelta(minutes=m)) for v, m in ((3.0, 1), (7.0, 9), (5.0, 4))]
+    frame(data, GSP).write.parquet(str(tmp_path / "landing/gb/generation"))
+    frame([(350,)], "gsp_id int").write.parquet(str(tmp_path / "landing/gb/registry"))
+    got = plans.feed_dispatch("gb", "generation", run)
+    assert dict(rows(got, "gsp_id", "solar_generation_kw"))[4] == 7000.0
+
+    start = NOW - timedelta(hours=2)
+    for region in range(13):
+        polls = [json.dumps({"hydra:member": [member(start, capacity=780 if region == 0 else 10 * region, percentage=0.5, volume=v)]}) for v in (1, 2)]
+        put(tmp_path / f"landing/nl/generation/request_date=2026-01-18/region_id={region}", "a.json", "\n".join(polls))
+    got = plans.feed_dispatch("nl", "generation", run)
+    assert got.count() == 13 and got.filter("NOT update_capacity").count() == 0
+
+
+def test_responses_that_are_not_json(run, tmp_path):
+    put(tmp_path / "landing/be/generation", "a.json", json.dumps({"results": []}) + '\n{"results": [')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        plans.feed_dispatch("be", "generation", run).collect()
+    assert plans.feed_dispatch("be", "generation", replace(run, on_error="drop")).count() == 0
+
+
+def test_german_files_with_different_headers(run, tmp_path):
+    folder = tmp_path / "landing/de/generation/de"
+    put(folder, "a.csv", "ts_local,Solar,Wind\n2026-01-18 09:00:00,1,500\n")
+    put(folder, "b.csv", "ts_local,Biomass,Solar\n2026-01-18 09:15:00,777,2\n2026-01-18 09:30:00,777,NaN\n")
+    put(folder, "c.csv", "Solar|Actual Consumption,Solar|Actual Aggregated,ts_local\n9,3,2026-01-18 09:45:00\n")
+    put(folder, "d.csv", "ts_local,Wind\n2026-01-18 10:00:00,3\n")
+    got = plans.feed_dispatch("de", "generation", replace(run, now=at("2026-01-18 12:00")))
+    assert [r[0] for r in rows(got.orderBy("target_datetime_utc"), "solar_generation_kw")] == [1000.0, 2000.0, 3000.0]
+
+
+def test_landed_files_are_read_once(spark, run, tmp_path):
+    """A run on a file that goes after the first reading."""
+    records = [{"datetime": "2026-01-18T08:00:00Z", "region": "Belgium", "monitoredcapacity": 50, "realtime": 4}]
+    put(tmp_path / "landing/be/generation", "a.json", json.dumps({"results": records}))
+    from powerflow.session import shared_table
+
+    with shared_table(plans.feed_dispatch("be", "generation", run), "test") as data:
+        assert "json" not in data._jdf.queryExecution().executedPlan().toString().lower()
+        path = data.inputFiles()[0]
+    assert not Path(path.removeprefix("file://")).exists()
+
+
 def test_germany_without_files(run):
     assert plans.feed_dispatch("de", "generation", run).count() == 0
 

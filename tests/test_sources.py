@@ -196,5 +196,47 @@ def test_documents_skip_files_from_before_the_window(spark, tmp_path):
         file = tmp_path / f"{name}.json"
         file.write_text(name)
         os.utime(file, (at(when + " 00:00:00+00:00").timestamp(),) * 2)
-    docs = sources.read_documents(spark, str(tmp_path), at("2025-01-15"))
+    assert sources.read_documents(spark, str(tmp_path)).count() == 2
+    docs = sources.read_documents(spark, str(tmp_path), modified_after=at("2025-01-15"))
     assert [r["document"] for r in docs.select(F.col("document")).collect()] == ["new"]
+
+
+def test_documents_by_line_and_request_date(spark, tmp_path):
+    for day in ("2025-01-01", "2025-01-14"):
+        folder = tmp_path / f"request_date={day}"
+        folder.mkdir()
+        (folder / "a.json").write_text(f'{{"d": "{day}"}}\n\n{{"d": 2}}\n')
+    docs = sources.read_documents(spark, str(tmp_path), since=at("2025-01-10").date())
+    assert sorted(r["document"] for r in docs.collect()) == ['{"d": "2025-01-14"}', '{"d": 2}']
+    assert docs.first()["landed"] is not None
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("DATE_GMT,TIME_GMT,EMBEDDED_SOLAR_FORECAST\n2025-01-14,05:30,1\n")
+    (tmp_path / "b.csv").write_text('\ufeffnote,EMBEDDED_SOLAR_FORECAST,TIME_GMT,DATE_GMT\r\n"a, ""b""",2,06:00,2025-01-14\r\n')
+    got = rows(sources.read_feed_csv(spark, str(tmp_path)))
+    assert got == [("2025-01-14", "05:30", 1.0), ("2025-01-14", "06:00", 2.0)]
+    (tmp_path / "c.csv").write_text("DATE_GMT,TIME_GMT\n2025-01-14,05:30\n")
+    with pytest.raises(Exception, match="no column EMBEDDED_SOLAR_FORECAST"):
+        sources.read_feed_csv(spark, str(tmp_path)).collect()
+
+
+def test_a_year_of_five_minute_chunks(spark):
+    chunks = sources.time_chunks(spark, "2024-01-01", "2025-01-01", step=timedelta(minutes=5))
+    assert chunks.count() == 366 * 288
+    last = chunks.orderBy(F.desc("chunk_no")).first()
+    assert last["chunk_end"] == at("2025-01-01") and last["chunk_start"] == at("2024-12-31 23:55")
+
+
+def test_weights_by_uri(spark, tmp_path):
+    path = tmp_path / "w.json"
+    path.write_text('{"9": [[20, 0.5]]}')
+    assert rows(sources.load_weights(spark, f"file://{path}")) == rows(sources.load_weights(spark, str(path))) == [(9, 20, 0.5, 0)]
+
+
+def test_sql_feed_leaves_the_views_of_the_session(frame, spark):
+    frame([(1,)], "own int").createOrReplaceTempView("feed")
+    feed = frame([("2025-01-14", "05:30", "x"), ("2025-01-14", "06:00", "2")], "DATE_GMT string, TIME_GMT string, EMBEDDED_SOLAR_FORECAST string")
+    assert rows(sources.sql_feed(spark, feed, "SELECT * FROM feed"), "solar_generation_kw") == [(None,), (2.0,)]
+    assert spark.table("feed").columns == ["own"]
+    spark.catalog.dropTempView("feed")

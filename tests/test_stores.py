@@ -215,7 +215,7 @@ GSP = "gsp_id int, datetime_gmt timestamp, generation_mw double, capacity_mwp do
 
 def gsp_cube(frame, data, ids=(1, 2), known=(1, 2)):
     lists = [frame([(i,) for i in part], "gsp_id int") for part in (known, ids)]
-    return plans.backfill_gsp_cube(frame(data, GSP), lists[0], lists[1], list(ids), T0, T1)
+    return plans.backfill_gsp_cube(frame(data, GSP), lists[0], lists[1], T0, T1)
 
 
 def test_gsp_cube(frame):
@@ -231,6 +231,15 @@ def test_gsp_cube(frame):
         gsp_cube(frame, full, known=(1, 3))
 
 
+def test_cubes_show_every_location(frame):
+    data = [(1, T0, 1.0, 2.0), (1, T1, 1.0, 2.0), (5, T0, 1.0, 2.0)]
+    with pytest.raises(ValueError, match="areas that are not in the list"):
+        gsp_cube(frame, data, ids=(1,), known=(1,))
+    regional = frame([(T0, "Namur", 1.0, 5.0)], "datetime timestamp, region string, realtime double, monitoredcapacity double")
+    with pytest.raises(ValueError, match="regions that are not in the list"):
+        plans.backfill_regional_cube(regional, T0, T1, ["Liege"], "realtime")
+
+
 def test_regional_cube_is_half_open_and_32_bit(frame):
     data = [(t, r, 1 / 3, 5.0) for t in (T0, T1) for r in ("Belgium", "Namur")]
     df = frame(data, "datetime timestamp, region string, realtime double, monitoredcapacity double")

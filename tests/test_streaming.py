@@ -46,13 +46,18 @@ def test_stream_uses_the_batch_rules(spark, frame, tmp_path):
 
 
 def test_unsettled_rows_wait_for_a_later_poll(spark, frame, tmp_path):
-    schema = "poll int, validto timestamp, lastupdate timestamp"
-    landing, store, checkpoint = (str(tmp_path / name) for name in ("landing", "store", "cp"))
-    for poll, update in enumerate([at("2025-01-14 12:40"), at("2025-01-14 13:00")]):
-        land(frame, landing, [(poll, T0, update), (poll, T1, update)], schema)
-        stream = spark.readStream.schema(schema).parquet(landing)
-        stream_settled(stream, store, checkpoint, ["poll"]).awaitTermination()
-    assert rows(spark.read.parquet(store), "poll", "validto") == [(0, T0), (1, T0), (1, T1)]
+    landed = "region int, validto timestamp, lastupdate timestamp, response_update timestamp"
+    kept = "region int, validto timestamp, lastupdate timestamp"
+    landing = str(tmp_path / "landing")
+    first, second = at("2025-01-14 12:40"), at("2025-01-14 13:00")
+    land(frame, landing, [(1, T0, first, first), (1, T1, first, first)], landed)
+    land(frame, landing, [(1, T0, second, second), (1, T1, second, second)], landed)
+    for files in (1, 9):
+        store = str(tmp_path / f"store-{files}")
+        for attempt in range(2):  # the second run gets the same files again
+            stream = spark.readStream.schema(landed).option("maxFilesPerTrigger", files).parquet(landing)
+            stream_settled(stream, store, str(tmp_path / f"cp-{files}-{attempt}"), ["region", "validto"], kept).awaitTermination()
+        assert rows(spark.read.parquet(store), "region", "validto") == [(1, T0), (1, T1)]
 
 
 def test_hot_keys_are_split(spark):
