@@ -135,6 +135,7 @@ class CountryProfile:
         return self.observers or (self.observer,)
 
 
+# Fixed values as well: observer names, keys and location types of the existing stores
 PROFILES = {
     "gb": CountryProfile(
         "gb", "gsp_id", "number", None, ("GSP", "NATION"), seeded=False,

@@ -63,11 +63,11 @@ def test_belgium_to_csv_and_platform(spark, run, tmp_path):
     for _ in range(2):
         assert run_to(run, tmp_path, "be", "generation", "data-platform")
     store = Store(spark, str(tmp_path / "store"))
-    assert rows(store.observations(), "value_watts") == [(300_000,), (1_200_000,)]
+    assert rows(store.observations(), "value_watts") == [(750_000,), (4_400_000,)]
     early = replace(run, now=at("2026-01-18 08:00"))
     assert run_to(early, tmp_path, "be", "forecast", "data-platform")
     values = spark.read.parquet(store.path("forecast_values"))
-    assert rows(values, "forecaster_name", "horizon_mins", "p50_fraction") == [("elia_be_forecast", 0, 0.24)]
+    assert rows(values, "forecaster_name", "horizon_mins", "p50_fraction") == [("elia_be_forecast", 0, 0.55)]
 
 
 def test_nothing_landed_in_the_window_saves_nothing(run, tmp_path):

@@ -156,18 +156,20 @@ CHECK = "region_id int, capacity_kw double, target_datetime_utc timestamp, updat
 
 
 def test_national_capacity_must_equal_the_regional_sum(frame):
-    fits = [780.0, *[10.0 * i for i in range(1, 13)]]
-    off = [10.0 * i for i in range(13)]
-    gap = [73.0, 1.0, 2.0, 3.0, 4.0, None, 6.0, 7.0, 8.0, 9.0, 10.0, 11.0, 12.0]
-    times = [at("2025-01-14 05:30"), at("2025-01-14 06:00"), at("2025-01-14 06:30")]
-    data = [r for c, t in zip([fits, off, gap], times, strict=True) for r in regions(c, t)]
-    checked = op.validate_capacity(frame(data, CHECK), NL_REGION_IDS)
-    assert checked.count() == 39
-    assert {(r[0], r[1]) for r in rows(checked, "target_datetime_utc", "update_capacity")} == {
-        (times[0], True),
-        (times[1], False),
-        (times[2], False),
+    parts = [3.0 * i + 1 for i in range(1, 13)]
+    total = sum(parts)
+    cases = {
+        at("2025-03-02 10:00"): ([total * 1.0009, *parts], True),
+        at("2025-03-02 10:15"): ([total * 0.9991, *parts], True),
+        at("2025-03-02 10:30"): ([total * 1.0011, *parts], False),
+        at("2025-03-02 10:45"): ([total, *parts[:6], None, *parts[7:]], False),
+        at("2025-03-02 11:00"): ([None, *parts], False),
     }
+    data = [row for t, (values, _) in cases.items() for row in regions(values, t)]
+    checked = op.validate_capacity(frame(data, CHECK), NL_REGION_IDS)
+    assert checked.count() == len(data)
+    got = {(r[0], r[1]) for r in rows(checked, "target_datetime_utc", "update_capacity")}
+    assert got == {(t, good) for t, (_, good) in cases.items()}
 
 
 def test_incomplete_repeated_or_unknown_regions_are_not_trusted(frame):
@@ -196,8 +198,9 @@ UPDATES = "effective_capacity_watts double, new_effective_capacity_watts double,
 
 
 def test_capacity_updates(frame):
-    df = frame([(1.0, 1.0, T0, "a"), (2.0, 4.0, T0, "b"), (3.0, 2.0, T0, "c"), (1.0, None, T0, "d"), (1.0, 1.5, T0, "e")], UPDATES)
-    assert rows(op.capacity_updates(df), "location_uuid") == [("b",), ("c",)]
+    moves = {"less": 10.9, "just": 11.0, "down": 8.5, "none": None, "same": 10.0}
+    df = frame([(10.0, new, T0, name) for name, new in moves.items()], UPDATES)
+    assert rows(op.capacity_updates(df), "location_uuid") == [("down",), ("just",)]
 
 
 def test_only_the_newest_capacity_counts(frame):
@@ -239,20 +242,30 @@ def test_latest_capacity_in_any_row_order(frame):
 
 
 def test_potential_generation_at_low_prices(frame):
-    start = at("2026-05-10")
-    times = [start + timedelta(minutes=15 * i) for i in range(97)]
-    df = frame([(t, 1.0) for t in times], "target_datetime_utc timestamp, solar_generation_kw double")
-    levels = [10.0] * 33 + [-1.0] * 25 + [39.0] * 39
-    prices = frame(list(zip(times, levels, strict=True)), f"target_datetime_utc timestamp, {PRICE} double")
+    levels = {"10:00": 12.5, "11:00": 0.0, "12:00": -0.01, "13:00": 0.01, "14:00": -30.0}
+    times = {at(f"2026-03-02 {hour}"): price for hour, price in levels.items()}
+    unpriced = at("2026-03-02 15:00")
+    df = frame([(t, 2.0) for t in [*times, unpriced]], "target_datetime_utc timestamp, solar_generation_kw double")
+    prices = frame(list(times.items()), f"target_datetime_utc timestamp, {PRICE} double")
     got = dict(rows(op.potential_generation(df, prices), "target_datetime_utc", POTENTIAL))
-    low = [t for t in times if at("2026-05-10 08:15") <= t <= at("2026-05-10 14:15")]
-    assert {t for t, v in got.items() if v == 1.11} == set(low)
-    assert {got[t] for t in times if t not in low} == {1.0}
+    assert got == {**{t: 2.0 * 1.11 if price <= 0 else 2.0 for t, price in times.items()}, unpriced: 2.0}
+    again = prices.union(frame([(at("2026-03-02 10:00"), 3.5)], prices.schema))
+    assert op.potential_generation(df, again).count() == len(got)  # a price that was polled twice
 
-    for refused in (prices.limit(0), prices.withColumn(PRICE, F.nullif(F.col(PRICE), F.lit(39.0)))):
+    for refused in (prices.limit(0), prices.withColumn(PRICE, F.nullif(F.col(PRICE), F.lit(12.5)))):
         unchanged = op.potential_generation(df, refused)
-        assert unchanged.count() == 97
-        assert {r[0] for r in rows(unchanged, POTENTIAL)} == {1.0}
+        assert unchanged.count() == len(got)
+        assert {r[0] for r in rows(unchanged, POTENTIAL)} == {2.0}
+
+
+def test_rows_with_a_null_key_are_a_group(frame):
+    df = frame([(None, 1.0), (None, 4.0), (1, 2.0)], "k int, v double")
+    assert rows(op.max_over_key(df, "k", "v"), "v", "max_value") == [(1.0, 4.0), (2.0, 2.0), (4.0, 4.0)]
+
+
+def test_newest_poll(frame):
+    df = frame([(1, T0, 5.0), (1, T1, 3.0), (1, T1, 4.0), (2, None, 9.0), (2, T0, 1.0), (None, T0, 7.0)], "k int, t timestamp, v double")
+    assert rows(op.newest_poll(df, "k", ["t", "landed"]), "k", "v") == [(None, 7.0), (1, 4.0), (2, 1.0)]
 
 
 def test_zero_price_counts_as_low(frame):
