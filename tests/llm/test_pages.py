@@ -69,6 +69,16 @@ def test_page_differencing():
     assert main_text(page, [page, other]) == "one two"
 
 
+def test_differencing_decides_within_and_beside_articles():
+    page, *others = (
+        parse(f"<p>Top</p><article><h1>Head {n}</h1><p>text {n}</p><p>Follow us</p></article><p>Imprint</p>") for n in range(3)
+    )
+    assert main_text(page, others) == "Head 0 text 0"
+    assert main_text(page, others[:1]) == "Head 0 text 0 Follow us"  # one page alone may quote the line
+    page, other = (parse(f"<p>Top</p><article>More {n}</article><p>{n} long main text</p><p>Imprint</p>") for n in range(2))
+    assert main_text(page, [other]) == "More 0 0 long main text"
+
+
 def test_aligned_is_a_longest_common_subsequence():
     rng = random.Random(4)
     for _ in range(60):
