@@ -111,6 +111,29 @@ def test_extract_pairs_pages_of_a_host(pages):
     assert [found[i] for i in range(4)] == [f"text {i}" for i in range(4)]
 
 
+def test_neighbours_do_not_depend_on_copies_or_ranges(spark, pages):
+    """Copies are passed over, a long frame is no copy, and the cuts between ranges do not show."""
+    menu = "".join(f"<p>menu {n}</p>" for n in range(30))
+    rows = [(n, f"http://h.org/a/{n:03d}", f"{menu}<p>the text of article {n // 4 * 4}</p>") for n in range(60)]
+    rows += [(100 + n, "http://h.org/b", f"{menu}<p>the text of article b</p>") for n in range(3)]
+    rows += [(103, "http://h.org/b", f"{menu}<p>the text of article b as of later</p>")]  # versions of one page
+    rows += [(200, "http://i.org/1", f"{menu}<p>alone at its host</p>")]
+    wanted = {n: f"the text of article {n // 4 * 4}" for n in range(60)} | dict.fromkeys((100, 101, 102), "the text of article b")
+    wanted[103] = "the text of article b as of later"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for partitions in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            found = {r["id"]: r["text"] for r in html_text.extract(pages(rows)).collect()}
+            assert found.pop(200).startswith("menu 0 menu 1 ") and found == wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+
+
 def test_archives_round_trip(spark, pages):
     big = "é" * 600
     rows = [
