@@ -1,7 +1,7 @@
 """Interpolated modified Kneser-Ney model of word pairs, counted by Spark.
 
 Each task counts the pairs of its texts and deals them, packed, into shards by their first word and a part of the
-second, so that the pairs of a very frequent word are spread over SPREAD shards. A shard adds up its
+second, so that the pairs of a very frequent word are spread over several shards. The number of shards follows the bytes of the text. A shard adds up its
 pairs, writes them to the shared folder as a sorted array of hashes with counts, and hands on what each word's
 totals need: the number of its followers by count and the number of its predecessors. These are added up in
 shards by word and stored in the same way. Nothing of the corpus's size is in one task or on the driver.
@@ -28,7 +28,8 @@ from powerflow.llm.shared_files import mapped, new_folder, put
 from powerflow.llm.words import NOT_BLANK, mix, pieces, split_words
 
 PAIR_BITS = 40
-SPREAD = 32
+SPREAD = 32  # at least; see spread_of
+SHARD_BYTES = 16 << 20  # training text of one shard at most, so a task's group does not grow with the corpus
 FLUSH_TOKENS = 3 << 19  # pairs that a task holds before it packs them
 BASE_PRIOR = 0.1
 
@@ -63,8 +64,20 @@ def pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(mix(before + _STEP) * _STEP + word)
 
 
+def spread_of(shards: int) -> int:
+    """Parts of a first word's pairs: a word with an eighth of all pairs fills no more than a shard with each."""
+    return max(SPREAD, shards // 8)
+
+
+def shards_of(texts: DataFrame) -> int:
+    """Shards for the bytes of ``text``, at least the shuffle partitions."""
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+
+
 def pair_shards(before: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
-    part = mix(before * np.uint64(SPREAD) + word % np.uint64(SPREAD))
+    spread = np.uint64(spread_of(shards))
+    part = mix(before * spread + word % spread)
     return (part % np.uint64(shards)).astype(np.int64)
 
 
@@ -218,7 +231,9 @@ def learn(texts: DataFrame) -> Totals:
     """Count the model of the rows' ``text`` into files of the shared folder."""
     spark = texts.sparkSession
     folder = new_folder(spark, "kneser-ney")
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    texts = texts.select(text)
+    shards = shards_of(texts)
     packed = arrow_schema(_PACKED)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,8 +317,7 @@ def learn(texts: DataFrame) -> Totals:
         if shard is not None:
             yield close()
 
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
-    pairs = texts.select(text).mapInArrow(count, _PACKED).repartition(shards, "kind", "shard")
+    pairs = texts.mapInArrow(count, _PACKED).repartition(shards, "kind", "shard")
     stats = pairs.sortWithinPartitions("kind", "shard").mapInArrow(add_pairs, _PACKED)
     spread = F.when(F.col("kind") == -1, F.xxhash64("data") % shards).otherwise(F.col("shard"))
     words = stats.repartition(shards, spread).sortWithinPartitions("shard", "kind").mapInArrow(add_words, sums)

@@ -191,6 +191,21 @@ def test_kneser_ney(documents, prose):
         assert lm["base_score"] == pytest.approx(base) and lm["score"] == pytest.approx(score)
 
 
+def test_kneser_ney_shards_follow_the_text(documents, prose, monkeypatch):
+    """More text has more shards, whatever the shuffle partitions, and the scores are the same."""
+    df = documents([prose(n, 60) for n in range(8)])
+
+    def scores():
+        return {r["doc_id"]: tuple(r["lm"]) for r in kneser_ney.with_scores(df, F.lit(True)).collect()}
+
+    few = scores()
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 100)
+    size = df.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert kneser_ney.learn(df.select("text")).shards == -(-size // 100) > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = scores()
+    assert few.keys() == many.keys() and all(many[k] == pytest.approx(few[k]) for k in few)
+
+
 def test_kneser_ney_without_training_rows(documents):
     rows = kneser_ney.with_scores(documents(["a b", None]), F.lit(False)).collect()
     assert [(r["lm"]["n_known"], r["lm"]["train_tokens"]) for r in rows] == [(0, 0), (0, 0)]
