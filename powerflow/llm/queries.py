@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, decontaminate, exact_dedup, html_text, kneser_ney, near_dedup, piece_counts, quality, url_filter, warc
+from powerflow.llm import byte_bpe, conversation, decontaminate, exact_dedup, html_text, kneser_ney, near_dedup, piece_counts, quality, url_filter, warc
 from powerflow.llm.common import crc_part, table
 from powerflow.llm.shared_files import new_folder
 
@@ -16,6 +16,7 @@ TOKEN_LIMIT = 4096
 QUALITY_FOLDS = 5
 LM_FOLDS = 10
 QUALITY_THRESHOLD = 0.3
+DAMAGE_PARTS = 20
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -104,6 +105,12 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation.with_damage(table(spark, sf_dir, "conversations"), DAMAGE_PARTS)
+    report = conversation.reports(conversation.edited_turns(damaged, gone=F.col("gone")))
+    return report.withColumn("conv_id", F.col("conv").cast("long")).drop("conv")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -115,12 +122,116 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_scores": op10_lm_scores,
+    "op11_conversations": op11_conversations,
 }
 
 _WORDS = r"""regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+# CRC-32 of the bytes of a text: the table of its 256 remainders, and a step for each byte of the text in hex
+_CRC_TABLE = """SELECT list(list_reduce(range(8), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, v) ORDER BY v) AS t FROM range(256) AS _(v)"""
+
+
+def _crc32(text: str, table: str) -> str:
+    pairs = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce({pairs}, lambda c, b: xor(c >> 8, {table}[1 + (xor(c, b) & 255)]), 4294967295), 4294967295)"
+
+
+def _cheapest(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+def _before(cost: str, edit: str, rest: str, row: str | None = None) -> str:
+    """A repair with one more edit in front: its cost, its edits and its rows."""
+    rows = f"{rest}.rows" if row is None else f"{row} || CASE WHEN {rest}.rows = '' THEN '' ELSE chr(10) || {rest}.rows END"
+    return f"{{'cost': {cost} + {rest}.cost, 'edits': '{edit}' || {rest}.edits, 'rows': {rows}}}"
+
+
+def _conversation_sql() -> str:
+    """A recursion from each conversation's last row to its first, with the best repair of what follows each state."""
+    then = {0: 2, 1: 2, 2: 3, 3: 2}  # the state after the turn that comes next
+    role = {0: "user", 1: "user", 2: "assistant", 3: "user"}
+    keep = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+    never = "{'cost': 1000000000, 'edits': '', 'rows': ''}"
+    plain = []
+    for s in range(4):
+        kept = "".join(
+            f" WHEN first = '{i}' THEN {_before('more', 'K', f'w{t}', 'role || chr(58) || text')}" for i, t in keep[s].items()
+        )
+        given = _before("2 + more", "R", f"w{then[s]}", f"'{role[s]}:' || text")
+        plain.append(_cheapest(
+            _before("3", "D", f"w{s}"),
+            f"CASE WHEN must THEN {never}{kept} ELSE {never} END",
+            f"CASE WHEN must THEN {never} ELSE {given} END",
+        ) + f" AS b{s}")
+    best = []
+    for s in range(4):
+        one = _before("2", "I", f"b{then[s]}", f"'{role[s]}:'")
+        inner = _before("2", "I", f"b{then[then[s]]}", f"'{role[then[s]]}:'")
+        two = f"(SELECT {_before('2', 'I', 'x', f"'{role[s]}:'")} FROM (SELECT {inner} AS x))"
+        best.append(_cheapest(f"b{s}", one, two) + f" AS w{s}")
+    end = ", ".join(
+        f"{{'cost': {cost}, 'edits': '{edits}', 'rows': {rows}}} AS w{s}"
+        for s, (cost, edits, rows) in enumerate([
+            (0, "", "''"), (4, "II", "'user:' || chr(10) || 'assistant:'"), (2, "I", "'assistant:'"), (0, "", "''")
+        ])
+    )
+    space = conversation.BLANKS
+    return f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+    FROM conversations
+),
+parted AS (SELECT n.*, {_crc32("name", "t")} % {DAMAGE_PARTS} AS part FROM named n, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN part = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN part = 1 THEN '' WHEN part = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+    FROM parted, range(CASE WHEN part = 3 THEN 2 ELSE 1 END) WHERE part <> 0
+),
+numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged
+),
+judged AS (
+    SELECT *, left(role, 1) AS first,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, nth) AS place,
+        CASE WHEN rtrim(text, '{space}') = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+            WHEN right(rtrim(text, '{space}'), 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault
+    FROM numbered
+),
+paired AS (SELECT *, lag(first) OVER (PARTITION BY conv_id ORDER BY place) || first AS pair FROM judged),
+counted AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au') OR place > 1 AND pair IS NULL) AS illegal
+    FROM paired GROUP BY conv_id
+),
+best AS (
+    SELECT conv_id, n AS place, {end} FROM counted
+    UNION ALL
+    SELECT conv_id, place - 1, {", ".join(best)}
+    FROM (
+        SELECT b.conv_id, b.place, {", ".join(plain)}
+        FROM (
+            SELECT best.*, j.role, j.text, j.first, CAST(j.fault = 'truncated' AS INTEGER) AS more,
+                j.fault IN ('blank', 'duplicate') AS must
+            FROM best JOIN judged j ON j.conv_id IS NOT DISTINCT FROM best.conv_id AND j.place = best.place
+        ) b
+    )
+)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(CAST(w0.cost AS BIGINT), 0) AS cost,
+    coalesce(w0.edits, '') AS audit, sha256(coalesce(w0.rows, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM i.conv_id AND b.place = 0
+"""
+
+
 ORACLES = {
     "op1_decontamination": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
@@ -173,4 +284,5 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
     CASE WHEN keep <> page_id THEN keep END AS refers_to
 FROM k
 """,
+    "op11_conversations": _conversation_sql(),
 }
