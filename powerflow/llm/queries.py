@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, conversation, decontaminate, exact_dedup, html_text, kneser_ney, near_dedup, piece_counts, quality, url_filter, warc
+from powerflow.llm import byte_bpe, conversation, decontaminate, exact_dedup, html_text, importance, kneser_ney, near_dedup, piece_counts, quality, url_filter, warc
 from powerflow.llm.common import crc_part, table
 from powerflow.llm.shared_files import new_folder
 
@@ -17,6 +17,10 @@ QUALITY_FOLDS = 5
 LM_FOLDS = 10
 QUALITY_THRESHOLD = 0.3
 DAMAGE_PARTS = 20
+DRAW_BUCKETS = 10_000
+DRAW_PERCENT = 10
+DRAW_MIN_WORDS = 20
+DRAW_SEED = 2024
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -111,6 +115,12 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("conv_id", F.col("conv").cast("long")).drop("conv")
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    drawn = importance.draw(documents, benchmark, DRAW_PERCENT, DRAW_MIN_WORDS, DRAW_SEED, buckets=DRAW_BUCKETS)
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -123,6 +133,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_lm_scores": op10_lm_scores,
     "op11_conversations": op11_conversations,
+    "op12_importance": op12_importance,
 }
 
 _WORDS = r"""regexp_extract_all(
@@ -285,4 +296,42 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 FROM k
 """,
     "op11_conversations": _conversation_sql(),
+    "op12_importance": f"""
+WITH crc AS ({_CRC_TABLE}),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT r, unnest(w) AS word FROM d),
+bw AS (SELECT unnest({_WORDS}) AS word FROM benchmark),
+placed AS (
+    SELECT word, {_crc32("word", "t")} % {DRAW_BUCKETS} AS bucket
+    FROM (SELECT word FROM dw UNION SELECT word FROM bw), crc
+),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN placed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bw JOIN placed USING (word) GROUP BY bucket),
+gain AS (
+    SELECT b AS bucket, floor(1000 * ln(
+        (coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + {DRAW_BUCKETS})::DOUBLE
+        / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + {DRAW_BUCKETS})::DOUBLE)
+    )) AS g
+    FROM range({DRAW_BUCKETS}) AS _(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b
+),
+weighed AS (
+    SELECT r, floor(sum(g) / count(*)) AS weight FROM dw JOIN placed USING (word) JOIN gain USING (bucket) GROUP BY r
+),
+scored AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((
+            ('0x' || left(sha256('{DRAW_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8))::BIGINT + 0.5::DOUBLE
+        ) / 4294967296::DOUBLE))) AS BIGINT) AS score,
+        len(w) >= {DRAW_MIN_WORDS} AS eligible
+    FROM d LEFT JOIN weighed USING (r)
+),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY eligible ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+        count(*) OVER (PARTITION BY eligible) AS n
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN eligible AND place <= {DRAW_PERCENT} * n // 100 THEN place END AS rank
+FROM ordered
+""",
 }

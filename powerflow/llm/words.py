@@ -92,6 +92,14 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def split_words(column: pa.Array, classes: np.ndarray = ALPHANUMERIC, lower: bool = True) -> Words:
     """Words of each row: runs of bytes of one class other than zero. A-Z is lower-cased first."""
+    data, start, end, first = word_ranges(column, classes, lower)
+    return Words(data, start, end, hash_ranges(data, start, end), first)
+
+
+def word_ranges(
+    column: pa.Array, classes: np.ndarray = ALPHANUMERIC, lower: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, begins and ends of words, and each row's first word."""
     data, offsets = raw_bytes(column)
     if lower:
         data = _LOWER[data]
@@ -103,7 +111,7 @@ def split_words(column: pa.Array, classes: np.ndarray = ALPHANUMERIC, lower: boo
     inside = kind != 0
     start = np.flatnonzero(changes[:-1] & inside)
     end = np.flatnonzero(changes[1:] & inside) + 1
-    return Words(data, start, end, hash_ranges(data, start, end), np.searchsorted(start, offsets))
+    return data, start, end, np.searchsorted(start, offsets)
 
 
 def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
