@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from powerflow.llm import byte_bpe, conversation, decontaminate, exact_dedup, html_text, importance, kneser_ney, near_dedup, piece_counts, quality, url_filter, warc
+from powerflow.llm import byte_bpe, conversation, decontaminate, exact_dedup, html_text, importance, kneser_ney, near_dedup, packing, piece_counts, quality, url_filter, warc
 from powerflow.llm.common import crc_part, table
 from powerflow.llm.shared_files import new_folder
 
 BYTE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+PACK_VOCABULARY = "byte_bpe_50k.json"
+PACK_TOKENS = 2048
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 QUALITY_FOLDS = 5
@@ -121,6 +123,11 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(PACK_VOCABULARY)
+    return packing.pack(table(spark, sf_dir, "documents"), path, PACK_TOKENS).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -134,6 +141,7 @@ QUERIES = {
     "op10_lm_scores": op10_lm_scores,
     "op11_conversations": op11_conversations,
     "op12_importance": op12_importance,
+    "op13_packing": op13_packing,
 }
 
 _WORDS = r"""regexp_extract_all(
