@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -11,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from powerflow.llm import bin_plan, packing
+from powerflow.llm.byte_bpe import merge_by_rank
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -53,6 +55,30 @@ def test_pieces_match_the_library(spark, documents, prose, library, chunk):
     assert check_places(rows, 64) >= -(-sum(e[3] for e in expected) // 64)
 
 
+def test_ranks_are_the_vocabulary(library):
+    """Every token is merged last from the pair that the vocabulary lists, and every character is cut alike."""
+    with open(PATH, encoding="utf-8") as file:
+        described = json.load(file)
+    ranks = packing.byte_ranks(described)
+    tokens = {rank: token for token, rank in ranks.items()}
+    letter = {word: tokens[rank] for word, rank in described["model"]["vocab"].items()}
+    for n, pair in enumerate(described["model"]["merges"]):
+        a, b = (letter[word] for word in pair)
+        rank = ranks.pop(a + b)
+        assert merge_by_rank(a + b, ranks) == [ranks[a], ranks[b]]
+        ranks[a + b] = rank
+    own = packing.Encoder(PATH, 0)
+    for begin in range(0, 0x30000, 4096):
+        points = [chr(c) for c in range(begin, begin + 4096) if not 0xD800 <= c < 0xE000]
+        text = "".join(f"a{c}a {c} 1{c}1  {c}{c}-{c}- {c}\n" for c in points)
+        assert own.encode(text).tolist() == library(text)
+    described["normalizer"] = {"type": "Lowercase"}
+    assert packing.byte_ranks(described) is None
+    other = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.Encoder(other, 0).quick is None
+    assert packing.Encoder(other, 0).encode("Ein Wort").tolist()[:-1] == Tokenizer.from_file(other).encode("Ein Wort", add_special_tokens=False).ids
+
+
 def test_sequences_hold_the_ids(spark, documents, prose, library):
     texts = [prose(i, 3 + i) for i in range(60)]
     packed = packing.pack(documents(texts), PATH, 256, keep_ids=True)
