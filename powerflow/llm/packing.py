@@ -173,7 +173,8 @@ def pack(documents: DataFrame, path: str, capacity: int, **options) -> DataFrame
 
     # one row for each part and length, never for each piece
     earlier = F.sum("n").over(Window.partitionBy("length").orderBy("part")) - F.col("n")
-    numbered = pieces.join(counts.select("part", "length", earlier.alias("earlier")), ["part", "length"])
+    offsets = counts.select("part", "length", earlier.alias("earlier")).hint("merge")  # grows with the parts
+    numbered = pieces.join(offsets, ["part", "length"])
 
     @F.arrow_udf("sequence_id long, offset long")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:
