@@ -24,7 +24,7 @@ from powerflow.catalogue.totals import TYPES
 from powerflow.functions import metadata_value, string_tag, tagged_map
 from powerflow.session import shared_folder
 from powerflow.settings import CountryProfile
-from powerflow.sources import time_window
+from powerflow.sources import days_of, on_days, read_table, time_window
 
 # Facts joined to the registry, and what of them is worth storing.
 JOINED = """joined AS (
@@ -444,19 +444,51 @@ def append_observations(spark, sf_dir):
 @query(
     "append_forecast",
     """SELECT solar_generation_kw AS forecast_power_kw, target_datetime_utc AS start_utc,
-              DATE '2024-01-10' AS init_date FROM facts""",
+              day AS init_date, '1' || CASE WHEN day = DATE '2024-01-10' THEN '' ELSE '.1' END AS forecast_version
+       FROM facts, (VALUES (DATE '2024-01-10'), (DATE '2024-01-11')) runs(day)
+       WHERE day = DATE '2024-01-10' OR event_type <> 'view'""",
     OBS,
     LOC,
     FACTS,
 )
 def append_forecast(spark, sf_dir):
-    """A forecast run appended under its date and read back."""
+    """Two forecast runs; the first is repeated, and so is the second, with fewer values that replace it."""
     path = shared_folder(spark, "forecasts")
-    rows = plans.site_forecast(
-        facts(spark, sf_dir), "nl_national", "ned-nl-national", "1.0", "2024-01-10 12:00:00"
+    rows = facts(spark, sf_dir)
+    fewer = rows.filter("event_type <> 'view'")
+    for data, version, run in [
+        (rows, "1", "2024-01-10 12:00:00"), (rows, "1.1", "2024-01-11 12:00:00"),
+        (rows, "1", "2024-01-10 12:00:00"), (fewer, "1.1", "2024-01-11 12:00:00"),
+    ]:
+        values = plans.site_forecast(data, "nl_national", "ned-nl-national", version, run)
+        sinks.append_forecast(values, path, "timestamp_utc", ["forecast_version"])
+    return spark.read.parquet(path).select("forecast_power_kw", "start_utc", "init_date", "forecast_version")
+
+
+@query(
+    "append_site_generation",
+    """SELECT solar_generation_kw AS power_kw, target_datetime_utc AS start_utc, c_nationkey AS site_id,
+              target_datetime_utc::DATE AS date
+       FROM facts JOIN loc ON gsp_id = location_id
+       QUALIFY row_number() OVER (PARTITION BY c_nationkey, target_datetime_utc ORDER BY solar_generation_kw DESC) = 1""",
+    OBS,
+    LOC,
+    FACTS,
+)
+def append_site_generation(spark, sf_dir):
+    """Three overlapping batches, the last with late rows; each reads the stored days of its own rows only."""
+    path = shared_folder(spark, "site-generation")
+    loc = locations(spark, sf_dir).select(F.col("location_id").alias("gsp_id"), F.col("c_nationkey").alias("site_id"))
+    rows = facts(spark, sf_dir).join(loc, "gsp_id").select(
+        F.col("solar_generation_kw").alias("power_kw"), F.col("target_datetime_utc").alias("start_utc"), "site_id"
     )
-    sinks.append_forecast(rows, path, "timestamp_utc")
-    return spark.read.parquet(path).select("forecast_power_kw", "start_utc", "init_date")
+    key = ["site_id", "start_utc"]
+    schema = "power_kw double, start_utc timestamp_ntz, site_id int, date date"
+    for start, end in [("2024-01-05", "2024-01-15"), ("2024-01-10", "2024-02-15"), ("2023-12-31", "2024-02-15")]:
+        batch = op.newest_poll(time_window(rows, "start_utc", start, end), key)
+        stored = on_days(read_table(spark, path, schema), days_of(batch, "start_utc"))
+        sinks.append_site_generation(op.drop_existing(batch, stored, key), path)
+    return spark.read.schema(schema).parquet(path)
 
 
 @query(

@@ -110,4 +110,4 @@ def settled(spark, sf_dir):
         stream_settled(
             stream, f"{folder}/store", f"{folder}/checkpoint-{number}", ["event_id"], schema
         ).awaitTermination()
-    return spark.read.schema(schema).parquet(f"{folder}/store")
+    return spark.read.schema(f"{schema}, date date").parquet(f"{folder}/store").drop("date")

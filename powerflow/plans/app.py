@@ -32,9 +32,15 @@ from powerflow.settings import (
     CountryProfile,
     profile_for,
 )
-from powerflow.sinks.tables import append_forecast, append_observations, append_rows, write_csv
+from powerflow.sinks.tables import (
+    append_forecast,
+    append_observations,
+    append_rows,
+    append_site_generation,
+    write_csv,
+)
 from powerflow.sources.dimensions import packaged_locations, site_table
-from powerflow.sources.history import read_table
+from powerflow.sources.history import days_of, on_days, read_table
 
 SINKS = ("csv", "site-db", "data-platform")
 # What a stored row is known by: a run that is repeated stores nothing twice
@@ -43,10 +49,13 @@ FORECAST_KEY = (
     "forecaster_name", "forecaster_version", "location_uuid", "energy_source", "init_time_utc", "horizon_mins",
 )
 SITE_FORECAST_KEY = ("client_site_name", "ml_model_name", "forecast_version", "timestamp_utc", "start_utc")
+# What, besides its time, names a forecast run, which is replaced as a whole
+FORECAST_RUN = ("forecaster_name", "forecaster_version", "location_uuid", "energy_source")
+SITE_FORECAST_RUN = ("client_site_name", "ml_model_name", "forecast_version")
 
 
 class Store:
-    """Append-only Parquet tables below one folder."""
+    """Parquet tables below one folder; all grow by appends but for the forecasts, which grow by runs."""
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
@@ -129,9 +138,7 @@ def run_platform_forecast(
     if profile.country == "be":
         data = data.filter(F.col("region") == NATIONAL)
     values = save_forecast(data, store.locations(), profile, tag, version, init)
-    stored = store.read("forecast_values", schemas.FORECAST_VALUES)
-    fresh = drop_existing(newest_poll(values, FORECAST_KEY), stored, FORECAST_KEY)
-    append_forecast(fresh, store.path("forecast_values"))
+    append_forecast(newest_poll(values, FORECAST_KEY), store.path("forecast_values"), run=FORECAST_RUN)
 
 
 def stored_sites(store: Store) -> DataFrame:
@@ -159,9 +166,11 @@ def run_site_generation(store: Store, data: DataFrame, country: str, now: dateti
     before = stored_sites(store)
     sites = site_table(store.spark, country, schemas.SITES)
     saved = site_generation(data, sites, before, SITE_KEYS[country], country)
-    stored = store.read("site_generation", schemas.SITE_GENERATION)
+    # only rows of the batch's own days can be the same; the feed's days are a superset that needs no join
+    table = store.read("site_generation", schemas.SITE_GENERATION_STORED)
+    stored = on_days(table, days_of(data, "target_datetime_utc"))
     fresh = drop_existing(newest_poll(saved.rows, SITE_KEY), stored, SITE_KEY)
-    append_rows(fresh, store.path("site_generation"))
+    append_site_generation(fresh, store.path("site_generation"))
     save_sites(store, before, saved.sites, now)
 
 
@@ -182,10 +191,8 @@ def run_site_forecast(
         F.lit(NL_SITE_CAPACITY_KW).cast("bigint").alias("capacity_kw"),
     )
     save_sites(store, before, created, now)
-    rows = site_forecast(data, FORECAST_SITE, tag, version, now)
-    stored = store.read("site_forecast_values", schemas.SITE_FORECAST)
-    fresh = drop_existing(newest_poll(rows, SITE_FORECAST_KEY), stored, SITE_FORECAST_KEY)
-    append_forecast(fresh, store.path("site_forecast_values"), "timestamp_utc")
+    rows = newest_poll(site_forecast(data, FORECAST_SITE, tag, version, now), SITE_FORECAST_KEY)
+    append_forecast(rows, store.path("site_forecast_values"), "timestamp_utc", SITE_FORECAST_RUN)
 
 
 def forecaster_tag(country: str, forecast_type: str) -> str:

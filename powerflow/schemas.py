@@ -115,6 +115,7 @@ FORECAST_VALUES = (
 )
 OBSERVERS = "observer_name string"
 FORECASTERS = "name string, version string"
+FORECAST_VALUES_STORED = f"{FORECAST_VALUES}, init_date date, run string"
 SITE_REGISTRY = (
     "client_site_name string, country string, latitude double, longitude double, "
     "capacity_kw bigint"
@@ -122,8 +123,10 @@ SITE_REGISTRY = (
 SITE_GENERATION = (
     "power_kw double, start_utc timestamp, energy_type string, client_site_name string"
 )
+SITE_GENERATION_STORED = f"{SITE_GENERATION}, date date"
 SITE_FORECAST = (
     "forecast_power_kw double, start_utc timestamp, end_utc timestamp, horizon_minutes double, "
     "client_site_name string, timestamp_utc timestamp, ml_model_name string, "
     "forecast_version string"
 )
+SITE_FORECAST_STORED = f"{SITE_FORECAST}, init_date date, run string"

@@ -1,7 +1,7 @@
-"""CSV export, append-only Parquet tables and cubes.
+"""CSV export, Parquet tables that grow by appends or by whole partitions, and cubes.
 
 Appends assume one writer per table at a time: Parquet has no merge, so duplicates are removed by
-the anti join before the append.
+the anti join before the append. Forecast runs need no such join, a run is a partition of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from powerflow.operators.matching import order_output
 
 CSV_NAME = "forecast_data.csv"
 ORM_COLUMN = "_sa_instance_state"
+RUN_TIME = "yyyyMMdd'T'HHmmss'Z'"
 
 
 def write_csv(df: DataFrame, folder: str, order: Sequence[str] = ()) -> str | None:
@@ -50,9 +51,28 @@ def append_observations(df: DataFrame, path: str, ts: str = "timestamp_utc") ->
     append_rows(df.withColumn("date", F.to_date(ts)), path, ["observer_name", "date"])
 
 
-def append_forecast(df: DataFrame, path: str, init: str = "init_time_utc") -> None:
-    """Append forecast values, partitioned by the date of the run."""
-    append_rows(df.withColumn("init_date", F.to_date(init)), path, ["init_date"])
+def append_site_generation(df: DataFrame, path: str, ts: str = "start_utc") -> None:
+    """Append generation of sites, partitioned by date."""
+    append_rows(df.withColumn("date", F.to_date(ts)), path, ["date"])
+
+
+def append_forecast(
+    df: DataFrame, path: str, init: str = "init_time_utc", run: Sequence[str] = ()
+) -> None:
+    """Store forecast runs, each in a partition of its own: its date and its ``run``.
+
+    A run is named by its time and the ``run`` columns. A run that is there already is replaced as a
+    whole when the job commits, so nothing that is stored has to be read, a repeated run changes no
+    count and an interrupted one leaves what was there before. Other runs are not touched, and no
+    rows replace nothing.
+    """
+    name = F.concat_ws("_", F.date_format(init, RUN_TIME), *run)
+    rows = df.withColumns({"init_date": F.to_date(init), "run": name})
+    parts = ["init_date", "run"]
+    (
+        rows.hint("rebalance", *[F.col(part) for part in parts])
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+    )
 
 
 def write_cube(df: DataFrame, path: str, ts: str, overwrite: bool) -> None:

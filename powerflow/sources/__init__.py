@@ -9,6 +9,8 @@ from powerflow.sources.dimensions import (
     site_table,
 )
 from powerflow.sources.history import (
+    days_of,
+    on_days,
     read_existing_observations,
     read_table,
     since_batch,
@@ -27,12 +29,14 @@ from powerflow.sources.windows import feed_window, time_chunks, time_window
 
 __all__ = [
     "cap_ids",
+    "days_of",
     "feed_window",
     "flatten_records",
     "latest_resource",
     "list_active_ids",
     "load_weights",
     "newest_path",
+    "on_days",
     "packaged_locations",
     "read_documents",
     "read_existing_observations",

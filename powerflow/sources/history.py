@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,21 @@ def since_batch(
     return obs.filter(F.col(stored_ts) >= earliest)
 
 
+def days_of(batch: DataFrame, ts: str) -> list[date]:
+    """The days a batch has rows of, however many rows; a batch of polls has a few."""
+    days = batch.select(F.to_date(ts).alias("day")).distinct().collect()
+    return sorted(row["day"] for row in days if row["day"] is not None)
+
+
+def on_days(stored: DataFrame, days: Sequence[date]) -> DataFrame:
+    """Stored rows of some days of a table that is partitioned by ``date``.
+
+    The days are literals, so the scan lists the folders of these days only: a late row costs its own
+    day and not all that has been stored since.
+    """
+    return stored.filter(F.col("date").isin(list(days)) if days else F.lit(False))
+
+
 def read_existing_observations(
     obs: DataFrame,
     batch: DataFrame,

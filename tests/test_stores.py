@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from powerflow import plans, schemas, sinks
 from powerflow.functions import metadata_value, number_tag, string_tag, tagged_map
 from powerflow.operators import seed_capacity, seed_locations
-from powerflow.plans.app import Store, run_platform_generation
+from powerflow.plans.app import Store, run_platform_generation, run_site_generation
 from powerflow.settings import PROFILES
-from powerflow.sources import packaged_locations, read_table, site_table
+from powerflow.sources import on_days, packaged_locations, read_table, site_table
 from tests.conftest import at, rows
 
 T0, T1 = at("2025-01-14 12:00"), at("2025-01-14 12:30")
@@ -210,6 +210,77 @@ def test_observations_are_partitioned(spark, frame, tmp_path):
     assert sorted(p.name for p in (tmp_path / "obs" / "observer_name=o").iterdir()) == ["date=2025-01-14", "date=2025-01-15"]
 
 
+def forecast_rows(frame, version, run, hours):
+    data = frame([(at(f"2025-01-14 {h:02}:00"), float(h)) for h in hours], FORECAST)
+    return plans.site_forecast(data, "nl_national", "model", version, run)
+
+
+def test_a_forecast_run_is_replaced_as_a_whole(spark, frame, tmp_path):
+    path, run = str(tmp_path / "forecasts"), ["client_site_name", "ml_model_name", "forecast_version"]
+
+    def store(version, when, hours, bad=False):
+        values = forecast_rows(frame, version, when, hours)
+        if bad:
+            values = values.withColumn("forecast_power_kw", F.raise_error(F.lit("lost")).cast("double"))
+        sinks.append_forecast(values, path, "timestamp_utc", run)
+
+    def held():
+        stored = spark.read.schema(schemas.SITE_FORECAST_STORED).parquet(path)
+        return rows(stored.groupBy("forecast_version", "timestamp_utc").count())
+
+    store("1", "2025-01-14 12:00", range(13, 20))
+    store("1", "2025-01-14 12:15", range(13, 16))
+    store("2", "2025-01-14 12:00", range(13, 15))
+    before = [("1", T0, 7), ("1", at("2025-01-14 12:15"), 3), ("2", T0, 2)]
+    assert held() == before
+    store("1", "2025-01-14 12:10", range(13, 20))  # the same quarter of an hour is the same run
+    assert held() == before
+    with pytest.raises(Exception, match="lost"):
+        store("1", "2025-01-14 12:00", range(13, 15), bad=True)
+    assert held() == before
+    store("1", "2025-01-14 12:00", ())
+    assert held() == before
+    store("1", "2025-01-14 12:00", range(13, 15))
+    assert held() == [("1", T0, 2), *before[1:]]
+
+
+def test_storing_a_run_reads_no_stored_run(spark, frame, tmp_path):
+    path = tmp_path / "forecasts"
+    sinks.append_forecast(forecast_rows(frame, "1", "2025-01-14 12:00", (13,)), str(path), "timestamp_utc")
+    for file in path.rglob("*.parquet"):
+        file.write_bytes(b"spoilt")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    sinks.append_forecast(forecast_rows(frame, "1", "2025-01-14 12:30", (14,)), str(path), "timestamp_utc")
+    sinks.append_forecast(forecast_rows(frame, "1", "2025-01-14 12:00", (13, 15)), str(path), "timestamp_utc")
+    stored = spark.read.schema(schemas.SITE_FORECAST_STORED).parquet(str(path))
+    assert stored.count() == 3
+    plan = stored.filter("init_date = DATE '2025-01-14' AND run = '20250114T123000Z'")
+    assert "run#" in plan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert plan.count() == 1
+
+
+def test_sites_read_the_days_of_their_batch(spark, frame, tmp_path):
+    store = Store(spark, str(tmp_path))
+
+    def save_days(*days):
+        data = frame([(0, at(f"2025-01-{day:02} 12:00"), 1.0, 5.0) for day in days], SITE_FACTS)
+        run_site_generation(store, data, "nl", T0)
+
+    save_days(10, 11, 12)
+    table = tmp_path / "site_generation"
+    for day in (10, 12):
+        for file in (table / f"date=2025-01-{day}").glob("*.parquet"):
+            file.write_bytes(b"spoilt")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    save_days(11, 14)
+    for day in (11, 14):
+        assert spark.read.parquet(str(table / f"date=2025-01-{day}")).count() == 1
+    stored = on_days(store.read("site_generation", schemas.SITE_GENERATION_STORED), [T0.date()])
+    filters = stored._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert "date#" in filters.split("PushedFilters")[0]
+    assert on_days(stored, []).count() == 0
+
+
 GSP = "gsp_id int, datetime_gmt timestamp, generation_mw double, capacity_mwp double"
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from powerflow import schemas
@@ -60,6 +61,67 @@ def test_unsettled_rows_wait_for_a_later_poll(spark, frame, tmp_path):
         assert rows(spark.read.parquet(store), "region", "validto") == [(1, T0), (1, T1)]
 
 
+def spoil(folder):
+    """Make every Parquet file below a folder unreadable."""
+    for file in folder.rglob("*.parquet"):
+        file.write_bytes(b"spoilt")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def test_micro_batches_read_their_own_days(spark, frame, tmp_path):
+    """Stored days that no landed row falls on are never opened, also when a row is late."""
+    landed = "region int, validto timestamp, lastupdate timestamp, response_update timestamp"
+    kept = "region int, validto timestamp, lastupdate timestamp"
+    landing, store, cp = str(tmp_path / "landing"), tmp_path / "store", str(tmp_path / "cp")
+    late = at("2025-03-01 00:00")
+
+    def poll(times):
+        land(frame, landing, [(1, t, late, late) for t in times], landed)
+        stream = spark.readStream.schema(landed).parquet(landing)
+        stream_settled(stream, str(store), cp, ["region", "validto"], kept).awaitTermination()
+
+    days = [at(f"2025-01-{day:02} 10:00") for day in (5, 6, 7, 8)]
+    poll(days)
+    for day in (5, 7, 8):
+        spoil(store / f"date=2025-01-{day:02}")
+    poll([days[1], at("2025-01-06 11:00"), at("2024-12-30 09:00")])  # a stored one, a new one and a late one
+    assert rows(spark.read.parquet(str(store / "date=2025-01-06")), "validto") == [(days[1],), (at("2025-01-06 11:00"),)]
+    assert len(list((store / "date=2024-12-30").glob("*.parquet"))) == 1
+    with pytest.raises(Exception, match="(?i)parquet"):
+        poll([days[0]])
+
+
+def test_observations_are_ingested_by_their_own_days(spark, frame, tmp_path):
+    landing, store, cp = str(tmp_path / "landing"), tmp_path / "store", str(tmp_path / "cp")
+    times = [at(f"2025-01-{day:02} 10:00") for day in (5, 6, 7)]
+
+    def poll(times):
+        land(frame, landing, [("A", "SOLAR", "o", t, 1) for t in times], schemas.OBSERVATIONS)
+        stream_ingest(spark.readStream.schema(schemas.OBSERVATIONS).parquet(landing), str(store), cp).awaitTermination()
+
+    poll(times)
+    spoil(store / "observer_name=o" / "date=2025-01-06")
+    spoil(store / "observer_name=o" / "date=2025-01-07")
+    poll([times[0], at("2025-01-05 12:00")])
+    assert spark.read.parquet(str(store / "observer_name=o" / "date=2025-01-05")).count() == 2
+
+
+def test_settled_keys_for_any_file_order_and_after_a_restart(spark, frame, tmp_path):
+    landed = "region int, validto timestamp, lastupdate timestamp, response_update timestamp"
+    kept = "region int, validto timestamp, lastupdate timestamp"
+    first, second, third = (at(f"2025-01-14 {t}") for t in ("12:40", "13:00", "13:30"))
+    polls = [[(r, t, seen, seen) for r in (1, 2) for t in (T0, T1)] for seen in (first, second, third)]
+    found = []
+    for number, order in enumerate([(0, 1, 2), (2, 0, 1), (1, 2, 0)]):
+        landing, store, cp = (str(tmp_path / f"{name}-{number}") for name in ("landing", "store", "cp"))
+        for place in order:  # each poll is a run that goes on where the checkpoint ended
+            land(frame, landing, polls[place], landed)
+            stream = spark.readStream.schema(landed).option("maxFilesPerTrigger", 1).parquet(landing)
+            stream_settled(stream, store, cp, ["region", "validto"], kept).awaitTermination()
+        found.append(rows(spark.read.parquet(store), "region", "validto"))
+    assert found == [[(r, t) for r in (1, 2) for t in (T0, T1)]] * 3
+
+
 def test_hot_keys_are_split(spark):
     """One location holds a third of all rows and nothing is small enough to be broadcast."""
     from powerflow import operators as op
