@@ -377,14 +377,26 @@ def ind_generation(spark, sf_dir):
     ),
 )
 def feed_dispatch_nl(spark, sf_dir):
-    """Dutch responses landed by request date and region; here the set of regions is never complete."""
+    """All Dutch responses landed by request date and region; here the set of regions is never complete."""
     landing = shared_folder(spark, "landing")
-    documents = nl_documents(spark, sf_dir).filter("request_date BETWEEN '1996-06-10' AND '1996-06-20'")
+    documents = nl_documents(spark, sf_dir).repartition(64, "request_date")
     # the table's days have no time of the day, so documents are landed whole and the window cuts them
     documents.write.partitionBy("request_date", "region_id").text(f"{landing}/nl/generation")
     return plans.feed_dispatch("nl", "generation", FeedRun(spark, landing, "1996-06-15 13:10:00"))
 
 
+@query("feed_dispatch_de", ORACLES["de_generation"])
+def feed_dispatch_de(spark, sf_dir):
+    """German areas landed as wide CSV files with headers of their own, one of them with repeated columns."""
+    landing = shared_folder(spark, "landing")
+    for region, wide in de_areas(spark, sf_dir).items():
+        local = wide.withColumn("ts_local", F.date_format("ts_local", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        local.write.option("header", True).csv(f"{landing}/de/generation/{region}")
+    capacities(spark, sf_dir).withColumn("year_start", F.col("year_start").cast("timestamp")).write.parquet(f"{landing}/de/capacity")
+    run = FeedRun(spark, landing, "2024-01-31 09:41:00", backfill_hours=31 * 24)
+    return plans.feed_dispatch("de", "generation", run)
+
+
 @query(
     "feed_dispatch_ind",
     ORACLES["ind_generation"],

@@ -223,6 +223,27 @@ def time_chunks(spark, sf_dir):
     return chunks.join(counts, "chunk_no", "left").na.fill(0, ["n_rows"])
 
 
+@query(
+    "time_chunks_equal",
+    """SELECT part, CAST(row_number() OVER (PARTITION BY part ORDER BY low) - 1 AS INT) AS chunk_no,
+              make_timestamp(low) AS chunk_start, make_timestamp(high) AS chunk_end
+       FROM (SELECT part, i, (first + (i::HUGEINT * length) // n + 1799999999) // 1800000000 * 1800000000 AS edge,
+                    lead(edge) OVER (PARTITION BY part ORDER BY i) AS next_edge,
+                    CAST(edge AS BIGINT) AS low, CAST(next_edge AS BIGINT) AS high
+             FROM (SELECT epoch_us(min(ts)) AS first, epoch_us(max(ts)) - epoch_us(min(ts)) AS length,
+                          count(*) AS n_events FROM events),
+                  LATERAL (SELECT 'long' AS part, n_events // 100 AS n UNION ALL SELECT 'short', n_events) parts,
+                  LATERAL (SELECT unnest(range(n + 1)) AS i) numbers)
+       WHERE low < high""",
+)
+def time_chunks_equal(spark, sf_dir):
+    """The extent of the readings in a hundredth as many chunks as readings, and in as many, most of which are empty."""
+    events = table(spark, sf_dir, "events")
+    start, end, n = events.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()
+    parts = [sources.time_chunks(spark, start, end, n=m).withColumn("part", F.lit(part)) for part, m in (("long", n // 100), ("short", n))]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "read_existing_observations",
     """SELECT event_id, location_id, ts, event_type FROM obs

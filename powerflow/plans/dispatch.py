@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from powerflow.operators.curtailment import PRICE
+from powerflow.operators.grouping import anti_join
 from powerflow.operators.quality import assert_contract
 from powerflow.plans.be import be_forecast, be_generation
 from powerflow.plans.de import de_forecast, de_generation
@@ -37,7 +38,8 @@ from powerflow.plans.gb import gb_forecast, gb_generation
 from powerflow.plans.ind import ind_generation
 from powerflow.plans.nl import nl_forecast, nl_generation
 from powerflow.schemas import EMPTY_FEED, RAW_GSP
-from powerflow.settings import DE_AREAS, GB_MAX_ID
+from powerflow.session import config_table
+from powerflow.settings import DE_AREAS, GB_MAX_ID, NL_REGION_IDS
 from powerflow.sources.dimensions import load_weights
 from powerflow.sources.history import table_exists
 from powerflow.sources.landed import latest_resource, read_csv_documents, read_documents, read_feed_csv
@@ -120,6 +122,25 @@ def _nl_generation(run: FeedRun) -> DataFrame:
     return nl_generation(raw, run.now, run.spark.createDataFrame([], PRICES))
 
 
+def missing_requests(run: FeedRun) -> DataFrame:
+    """Request dates and regions of the Dutch window that have no landed response.
+
+    The lander asks for a day and region at a time and may give up; a run delivers what there is, and this
+    tells what to ask for again. Only the folders of the window are listed, and of them no document is parsed.
+    """
+    start, end = feed_window("nl_generation", run.now)
+    days = (end.date() - start.date()).days + 1
+    wanted = [
+        {"request_date": start.date() + timedelta(days=day), "region_id": region}
+        for day in range(days) for region in NL_REGION_IDS
+    ]
+    required = config_table(run.spark, wanted, "request_date date, region_id int")
+    landed = run.documents("nl", "generation", since=start).select(
+        F.col("request_date").cast("date").alias("request_date"), F.col("region_id").cast("int").alias("region_id")
+    )
+    return anti_join(required, landed, ["request_date", "region_id"])
+
+
 def _nl_forecast(run: FeedRun) -> DataFrame:
     return nl_forecast(run.documents("nl", "forecast"), run.now)
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from powerflow.functions.times import parse_date_time
+from powerflow.operators.grouping import fact_join
 from powerflow.schemas import EMPTY_FEED, GB_FORECAST_RECORD, RESOURCE_RECORD
+from powerflow.session import written
 
 LANDED = "landed"  # when a response was landed, which tells polls apart
 
@@ -96,16 +98,24 @@ def flatten_records(
 def read_csv_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per data line of landed CSV files: ``header`` and ``cells`` as arrays, and ``landed``.
 
-    Each file is one response with a header of its own, so files may differ in columns and order.
+    Each file is one response with a header of its own, its first line that is not blank, so files may
+    differ in columns and order. A file is split over tasks like any text: the headers, one small row a
+    file, are found first and written, so their size decides on the join, and every line finds its own by
+    the file's path. A line that repeats its file's header is no data. A cell holds no line break.
     """
-    files = spark.read.text(path, wholetext=True)
-    lines = F.filter(F.split("value", "\r?\n"), lambda line: F.trim(line) != "")
-    rows = files.select(lines.alias("lines"), F.col("_metadata.file_modification_time").alias(LANDED))
-    rows = rows.filter(F.size("lines") > 1)
-    return rows.select(
-        F.transform(_cells(F.regexp_replace(F.get("lines", F.lit(0)), "^\ufeff", "")), F.trim).alias("header"), LANDED,
-        F.explode(F.slice("lines", 2, F.size("lines"))).alias("line"),
-    ).select("header", _cells(F.col("line")).alias("cells"), LANDED)
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_modification_time").alias(LANDED),
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+    ).filter(F.trim("line") != "")
+    # lines of a block are read in order by one task, whose row numbers ascend
+    placed = lines.select("file", "line", F.struct("block", F.monotonically_increasing_id()).alias("place"))
+    firsts = placed.groupBy("file").agg(F.min_by("line", "place").alias("first"))
+    header = F.transform(_cells(F.regexp_replace("first", "^\ufeff", "")), F.trim)
+    headers = written(firsts.select("file", "first", header.alias("header")), "csv-headers")
+    # no cells for a header, so that a condition on cells may run before the filter
+    data = F.when(F.col("line") != F.col("first"), F.col("line"))
+    rows = fact_join(lines, headers, "file", "inner").withColumn("line", data).filter("line IS NOT NULL")
+    return rows.select("header", _cells(F.col("line")).alias("cells"), LANDED)
 
 
 def _cells(line: Column) -> Column:

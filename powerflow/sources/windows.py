@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from powerflow.functions.times import as_utc, utc_literal
@@ -37,7 +37,8 @@ def time_chunks(
 
     With ``step`` every chunk has that length, the last one is clipped to the end and empty ones
     are left out (a step of one day gives daily requests). With ``n`` there are n equal chunks
-    whose bounds are rounded up to the half hour. Spark makes the rows, so there may be any number.
+    whose bounds are rounded up to the half hour, empty ones left out. Spark makes the rows and every
+    row its own number, so there may be any number of them.
     """
     start, end = as_utc(start), as_utc(end)
     if (step is None) == (n is None):
@@ -58,10 +59,14 @@ def time_chunks(
             exact = F.lit(first) + F.floor(number * F.lit(length) / n)
             return F.ceil(exact / half_hour).cast("long") * half_hour
 
-        low, high = edge(F.col("id")), edge(F.col("id") + 1)
-        rows = spark.range(n).select("id", low.alias("low"), high.alias("high")).filter("low < high")
-        # chunks shorter than half an hour can be empty; n is a number of requests and not of facts
-        number = F.row_number().over(Window.orderBy("id")) - 1
+        number = F.col("id")
+        if length < n * half_hour:
+            # shorter chunks than half an hour: their bounds are all half hours between the first and the last
+            first_edge, last_edge = (-(-at // half_hour) * half_hour for at in (first, first + length))
+            low = F.lit(first_edge) + number * half_hour
+            rows = spark.range((last_edge - first_edge) // half_hour).select("id", low.alias("low"), (low + half_hour).alias("high"))
+        else:
+            rows = spark.range(n).select("id", edge(number).alias("low"), edge(number + 1).alias("high"))
         rows = rows.select(number.cast("int").alias("chunk_no"), "low", "high")
     return rows.select("chunk_no", _moment(F.col("low")).alias("chunk_start"), _moment(F.col("high")).alias("chunk_end"))
 

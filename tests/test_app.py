@@ -105,6 +105,24 @@ def test_netherlands_to_all_sinks(spark, run, tmp_path, frame):
     assert spark.read.parquet(store.path("forecast_values")).first()["horizon_mins"] == 70
 
 
+def test_only_the_folders_of_the_window_are_read(spark, run, tmp_path):
+    """Older responses are not opened, also not to tell which requests are missing."""
+    start = NOW - timedelta(hours=2)
+    for day in ("2025-12-31", "2026-01-17", "2026-01-18"):
+        for region in range(13):
+            text = json.dumps({"hydra:member": [member(start, capacity=780 if region == 0 else 10 * region, percentage=0.5)]})
+            bad = day < "2026" or day == "2026-01-17" and region == 5
+            if not (day == "2026-01-18" and region in (3, 7)):
+                put(tmp_path / f"landing/nl/generation/request_date={day}/region_id={region}", "a.json", "" if bad else text)
+    got = plans.feed_dispatch("nl", "generation", run)
+    filters = got._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert "request_date" in filters.split("PushedFilters")[0]
+    missing = plans.missing_requests(run)
+    assert rows(missing) == [(at("2026-01-17").date(), 5), (at("2026-01-18").date(), 3), (at("2026-01-18").date(), 7)]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "request_date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
 def test_great_britain_generation_and_forecast(spark, run, tmp_path, frame):
     landing = tmp_path / "landing/gb"
     data = [gsp(i, at("2026-01-18 09:00"), 1.0, updated=NOW) for i in (1, 350)]

@@ -221,6 +221,45 @@ def test_csv_files_with_different_headers(spark, tmp_path):
         sources.read_feed_csv(spark, str(tmp_path)).collect()
 
 
+def test_chunks_shorter_than_half_an_hour(spark):
+    chunks = sources.time_chunks(spark, "2020-01-01 00:10", "2020-01-01 03:10", n=100)
+    found = sorted(map(tuple, chunks.select("chunk_no", "chunk_start", "chunk_end").collect()))
+    starts = [at("2020-01-01 00:30") + timedelta(minutes=30 * i) for i in range(6)]
+    assert found == [(i, s, s + timedelta(minutes=30)) for i, s in enumerate(starts)]
+    assert "Window" not in chunks._jdf.queryExecution().executedPlan().toString()
+    assert sources.time_chunks(spark, "2020-01-01", "2020-01-01", n=4).count() == 0
+
+
+def test_equal_chunks_meet_for_any_number(spark):
+    for n in (1, 3, 47, 48, 49, 1000):
+        chunks = sources.time_chunks(spark, "2020-01-01 00:00:01", "2020-01-02 00:00:01", n=n)
+        found = sorted(map(tuple, chunks.select("chunk_no", "chunk_start", "chunk_end").collect()))
+        assert [row[0] for row in found] == list(range(min(n, 48)))
+        assert found[0][1] == at("2020-01-01 00:30") and found[-1][2] == at("2020-01-02 00:30")
+        assert all(a[2] == b[1] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_a_large_csv_file_is_split(spark, tmp_path):
+    """One long file over many tasks, beside a short one with another header; headers are found by file."""
+    n = 40_000
+    body = "".join(f"{i},{i // 60 % 24:02}:{i % 60:02},2025-01-14\n" for i in range(n))
+    (tmp_path / "long.csv").write_text("\n  \nEMBEDDED_SOLAR_FORECAST,TIME_GMT,DATE_GMT\n" + body)
+    (tmp_path / "short.csv").write_text("DATE_GMT,TIME_GMT,EMBEDDED_SOLAR_FORECAST\n2025-01-14,05:30,-1\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("DATE_GMT,TIME_GMT,EMBEDDED_SOLAR_FORECAST\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        feed = sources.read_feed_csv(spark, str(tmp_path))
+        assert feed.rdd.getNumPartitions() >= 8
+        total = feed.agg(F.count(F.lit(1)), F.sum("EMBEDDED_SOLAR_FORECAST"), F.min("DATE_GMT"), F.max("DATE_GMT")).first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tuple(total) == (n + 1, n * (n - 1) / 2 - 1, "2025-01-14", "2025-01-14")
+
+
 def test_a_year_of_five_minute_chunks(spark):
     chunks = sources.time_chunks(spark, "2024-01-01", "2025-01-01", step=timedelta(minutes=5))
     assert chunks.count() == 366 * 288
