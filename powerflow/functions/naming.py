@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from powerflow.schemas import FEEDS
 
 
+def stripped(col: Column) -> Column:
+    """Text without white space of any kind at its ends."""
+    return F.regexp_replace(col, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def normalise_key(col: Column) -> Column:
-    return F.lower(F.trim(col.cast("string")))
+    return F.lower(stripped(col.cast("string")))
 
 
 def tag_constants(df: DataFrame, **tags) -> DataFrame:

@@ -10,6 +10,8 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from powerflow.functions.naming import stripped
+
 
 def as_utc(moment: datetime | str) -> datetime:
     """Naive UTC datetime from an aware or naive one, or from ISO text."""
@@ -25,7 +27,7 @@ def utc_literal(moment: datetime | str) -> Column:
 
 def parse_date_time(date_col: Column, time_col: Column) -> Column:
     """Date text (first ten characters) plus ``H:mm`` text; anything invalid gives NULL."""
-    text = F.concat(F.substring(date_col, 1, 10), F.lit(" "), F.trim(time_col))
+    text = F.concat(F.substring(date_col, 1, 10), F.lit(" "), stripped(time_col))
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm"))
 
 

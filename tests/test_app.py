@@ -13,7 +13,7 @@ from powerflow.plans.app import Store
 from powerflow.plans.dispatch import FeedRun
 from powerflow.operators.curtailment import PRICE
 from tests.conftest import at, rows
-from tests.test_feeds import MIXED, member, overview
+from tests.test_feeds import be_payload, member, overview
 from tests.test_operators import GSP, gsp
 from tests.test_stores import gb_registry
 
@@ -54,20 +54,21 @@ def test_unknown_sink(run):
 
 
 def test_belgium_to_csv_and_platform(spark, run, tmp_path):
-    put(tmp_path / "landing/be/forecast", "a.json", json.dumps(MIXED))
+    capacities, times = {"Wallonia": 16, "Belgium": 40}, [at(f"2026-01-18 {h:02}:00") for h in (5, 6, 7, 8)]
+    put(tmp_path / "landing/be/forecast", "a.json", json.dumps(be_payload("mostrecentforecast", capacities, times)))
     assert run_to(run, tmp_path, "be", "forecast", "csv")
     written = spark.read.option("header", True).csv(str(tmp_path / "out/forecast_data.csv"))
-    assert written.count() == 2
-    payload = {"results": [{**r, "realtime": r["mostrecentforecast"]} for r in MIXED["results"]]}
-    put(tmp_path / "landing/be/generation", "a.json", json.dumps(payload))
+    assert written.count() == 8
+    put(tmp_path / "landing/be/generation", "a.json", json.dumps(be_payload("realtime", capacities, times)))
     for _ in range(2):
         assert run_to(run, tmp_path, "be", "generation", "data-platform")
     store = Store(spark, str(tmp_path / "store"))
-    assert rows(store.observations(), "value_watts") == [(750_000,), (4_400_000,)]
-    early = replace(run, now=at("2026-01-18 08:00"))
-    assert run_to(early, tmp_path, "be", "forecast", "data-platform")
+    assert rows(store.observations(), "value_watts") == sorted((mw * t.hour * 62_500,) for t in times for mw in (16, 40))
+    early = replace(run, now=at("2026-01-18 07:00"))
+    for _ in range(2):
+        assert run_to(early, tmp_path, "be", "forecast", "data-platform")
     values = spark.read.parquet(store.path("forecast_values"))
-    assert rows(values, "forecaster_name", "horizon_mins", "p50_fraction") == [("elia_be_forecast", 0, 0.55)]
+    assert rows(values, "forecaster_name", "horizon_mins", "p50_fraction") == [("elia_be_forecast", 0, 7 / 16)]
 
 
 def test_nothing_landed_in_the_window_saves_nothing(run, tmp_path):

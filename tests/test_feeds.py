@@ -1,7 +1,8 @@
 from __future__ import annotations
 
 import json
-from datetime import timedelta
+from datetime import UTC, timedelta
+from zoneinfo import ZoneInfo
 
 import pytest
 
@@ -158,20 +159,30 @@ def be_raw(frame, *payloads):
     return frame([(json.dumps(p),) for p in payloads], "document string")
 
 
-MIXED = {"results": [
-    {"datetime": "2026-01-18T08:00:00Z", "mostrecentforecast": 4.4, "region": "Belgium", "monitoredcapacity": 8},
-    {"datetime": "2026-01-18T07:00:00Z", "mostrecentforecast": 0.75, "region": " Flanders ", "monitoredcapacity": 3},
-]}
+def be_payload(field, capacities, times):
+    """A response with all regions at all times; power follows from the hour and the capacity."""
+    return {"results": [
+        {"datetime": t.isoformat() + "Z", "region": region, "monitoredcapacity": mw, field: mw * t.hour / 16}
+        for t in times for region, mw in capacities.items()
+    ]}
+
 
+MIDSUMMER = [at(f"2025-06-21 {h:02}:00") for h in range(24)]
 
-def test_be_forecast(frame):
-    got = plans.be_forecast(be_raw(frame, MIXED))
+
+@pytest.mark.parametrize(("field", "plan", "kind"), [
+    ("mostrecentforecast", plans.be_forecast, "most_recent"), ("realtime", plans.be_generation, "generation")
+])
+def test_be_regions_and_units(frame, field, plan, kind):
+    raw = be_raw(frame, be_payload(field, {"BRUSSELS": 2, "Wallonia": 32, "\tLiège ": 4}, MIDSUMMER))
+    got = plan(raw)
     assert got.columns == names("be")
-    assert rows(got) == [
-        (at("2026-01-18 07:00"), 750.0, "flanders", "most_recent", 3000.0),
-        (at("2026-01-18 08:00"), 4400.0, "belgium", "most_recent", 8000.0),
-    ]
-    assert plans.be_generation(be_raw(frame, MIXED)).count() == 0
+    assert rows(got) == sorted(
+        (t, 1000.0 * mw * t.hour / 16, region, kind, 1000.0 * mw)
+        for t in MIDSUMMER for region, mw in (("brussels", 2), ("wallonia", 32), ("liège", 4))
+    )
+    other = plans.be_generation if plan is plans.be_forecast else plans.be_forecast
+    assert other(raw).count() == 0
 
 
 def test_be_incomplete_records_and_unexpected_payloads(frame):
@@ -186,70 +197,91 @@ def test_be_incomplete_records_and_unexpected_payloads(frame):
 
 
 def test_be_window(frame):
-    assert plans.be_forecast(be_raw(frame, MIXED), "2026-01-18 07:30").count() == 1
-    assert plans.be_forecast(be_raw(frame, MIXED), "2026-01-19 07:00").count() == 2
-    assert plans.be_forecast(be_raw(frame, MIXED), "2026-01-19 07:00", backfill_hours=23).count() == 1
+    raw = be_raw(frame, be_payload("mostrecentforecast", {"Belgium": 16}, MIDSUMMER))
+
+    def hours(now, **options):
+        return [t.hour for t, in rows(plans.be_forecast(raw, now, **options), "target_datetime_utc")]
+
+    assert hours("2025-06-21 09:59") == list(range(10))
+    assert hours("2025-06-22 20:00") == [20, 21, 22, 23]
+    assert hours("2025-06-21 09:30", backfill_hours=2.5) == [7, 8, 9]
 
 
 # --- Germany --------------------------------------------------------------------------------------
 
 
-def production(frame, columns, *values, start="2025-07-11 02:00"):
-    first = at(start)
-    data = [(first + timedelta(minutes=15 * i), *v) for i, v in enumerate(values)]
+def wall_clock(frame, start, columns, *values):
+    """A wide table of quarters of an hour from a UTC time on, by the clocks of the area."""
+    times = [at(start) + timedelta(minutes=15 * i) for i in range(len(values))]
+    local = [t.replace(tzinfo=UTC).astimezone(ZoneInfo("Europe/Berlin")).replace(tzinfo=None) for t in times]
     schema = "ts_local timestamp_ntz, " + ", ".join(f"c{i} double" for i in range(len(columns)))
-    return frame(data, schema).toDF("ts_local", *columns)
+    return frame([(t, *v) for t, v in zip(local, values, strict=True)], schema).toDF("ts_local", *columns)
 
 
 CAPACITY = "region string, year_start timestamp, Solar double"
+SPRING = "2025-03-30 00:30"  # half an hour before the clocks go forward
 
 
 @pytest.mark.parametrize("columns", [
-    ["Solar", "Wind Onshore"], ["Solar|Actual Aggregated", "Wind Onshore|Actual Aggregated"]
+    ["Biomass", "Solar"], ["Solar|Actual Consumption", "Solar|Actual Aggregated"]
 ])
-def test_de_generation(frame, columns):
-    areas = {r: production(frame, columns, (1.0, 42.0), (2.0, 42.0)) for r in ("de", "50hertz")}
-    capacities = frame([("50hertz", at("2024-01-01"), 18_000.0), ("50hertz", at("2025-01-01"), 20_000.0)], CAPACITY)
-    got = plans.de_generation(areas, capacities, "2025-07-11 01:10")
+def test_de_generation_over_the_change_of_clocks(frame, columns):
+    power = [0.25 * i for i in range(5)]
+    areas = {
+        region: wall_clock(frame, SPRING, columns, *[(7.0, factor * mw) for mw in power])
+        for region, factor in (("tennet", 1), ("transnetbw", 4), ("de", 8))
+    }
+    newest = [("tennet", at("2019-01-01"), 3.0), ("tennet", at("2025-01-01"), 2.5), ("transnetbw", at("2023-01-01"), 9.0)]
+    got = plans.de_generation(areas, frame(newest, CAPACITY), "2025-03-30 02:20")
     assert got.columns == names("de_generation")
-    first, second = at("2025-07-11 00:00"), at("2025-07-11 00:15")
+    times = [at(SPRING) + timedelta(minutes=15 * i) for i in range(5)]
     assert rows(got, "region", "target_datetime_utc", "solar_generation_kw", "capacity_kw", "tso_zone") == [
-        ("50hertz", first, 1000.0, 20_000_000.0, "50Hertz"),
-        ("50hertz", second, 2000.0, 20_000_000.0, "50Hertz"),
-        ("de", first, 1000.0, None, None),
-        ("de", second, 2000.0, None, None),
+        (region, t, 1000.0 * factor * mw, capacity, zone)
+        for region, factor, capacity, zone in (
+            ("de", 8, None, None), ("tennet", 1, 2500.0, "TenneT"), ("transnetbw", 4, 9000.0, "TransnetBW")
+        )
+        for t, mw in zip(times, power, strict=True)
     ]
 
 
 def test_de_areas_without_solar_or_values_are_skipped(frame):
     areas = {
-        "de": production(frame, ["Wind Onshore"], (42.0,)),
-        "tennet": production(frame, ["Solar"], (None,)),
-        "amprion": production(frame, ["Solar"], (3.0,)),
+        "de": wall_clock(frame, SPRING, ["Hydro", "Nuclear"], (5.0, 6.0)),
+        "tennet": wall_clock(frame, SPRING, ["Solar"], (None,), (float("nan"),)),
+        "amprion": wall_clock(frame, SPRING, ["Solar"], (3.0,), (None,)),
     }
-    got = plans.de_generation(areas, frame([], CAPACITY), "2025-07-11 01:10")
+    got = plans.de_generation(areas, frame([], CAPACITY), "2025-03-30 09:00")
     assert rows(got, "region", "solar_generation_kw") == [("amprion", 3000.0)]
     with pytest.raises(ValueError, match="unknown areas"):
         plans.de_generation({"other": areas["de"]}, frame([], CAPACITY), NOW)
 
 
 def test_de_window_ends_at_the_full_hour(frame):
-    area = production(frame, ["Solar"], *[(1.0,)] * 6)
-    got = plans.de_generation({"de": area}, frame([], CAPACITY), "2025-07-11 01:10", backfill_hours=1)
-    assert got.count() == 5
+    area = wall_clock(frame, SPRING, ["Solar"], *[(float(i),) for i in range(12)])
+
+    def kept(**options):
+        found = plans.de_generation({"de": area}, frame([], CAPACITY), "2025-03-30 02:59", **options)
+        return [kw for kw, in rows(found.orderBy("target_datetime_utc"), "solar_generation_kw")]
+
+    assert kept() == [1000.0 * i for i in range(7)]
+    assert kept(backfill_hours=1) == [1000.0 * i for i in range(2, 7)]
 
 
 @pytest.mark.parametrize("kind", ["day_ahead", "intraday", "current"])
-def test_de_forecast(frame, kind):
-    wide = production(frame, ["Solar", "Wind Onshore"], (1.0, 1.0), (2.0, 2.0))
-    got = plans.de_forecast(wide, kind, "2025-07-11 09:00")
+def test_de_forecast_of_two_days(frame, kind):
+    """Days are those of UTC, whatever the clocks say; autumn repeats an hour of them."""
+    n = 4 * 24 * 3
+    wide = wall_clock(frame, "2025-11-02 00:00", ["Wind Offshore", "Solar"], *[(1.0, float(i)) for i in range(n)])
+    got = plans.de_forecast(wide, kind, "2025-11-02 17:45")
     assert got.columns == names("de_forecast")
-    assert rows(got, "solar_generation_kw", "region", "forecast_type") == [(1000.0, "de", kind), (2000.0, "de", kind)]
+    assert rows(got) == [
+        (at("2025-11-02") + timedelta(minutes=15 * i), 1000.0 * i, "de", kind) for i in range(2 * 96 + 1)
+    ]
 
 
 def test_de_unknown_forecast(frame):
     with pytest.raises(ValueError, match="unknown forecast"):
-        plans.de_forecast(production(frame, ["Solar"], (1.0,)), "weekly", NOW)
+        plans.de_forecast(wall_clock(frame, SPRING, ["Solar"], (1.0,)), "weekly", NOW)
 
 
 # --- Rajasthan ------------------------------------------------------------------------------------
