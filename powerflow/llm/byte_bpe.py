@@ -5,9 +5,12 @@ pair of neighbours, encoded on its own, gives that pair back, and every token en
 encoding can then be read from left to right. For each position the last token of the prefix's encoding is
 unique, so the transducer keeps, for every start of a token that may still be running, the node of the
 vocabulary tree and the last token before it. These sets are its states. They are determinised as texts
-reach them: a transition is computed once and then looked up. The tokens that all open starts have in
-common are emitted; a start stays open for at most the longest token's length, which bounds the
-lookahead.
+reach them: a transition is computed once and then looked up in a flat table. A start stays open for at most
+the longest token's length, which bounds the lookahead.
+
+Each transition gives the last token of the prefix that ends there. All different pieces of a batch of texts
+step through the table at once, one byte a step, and their tokens are read backwards from the last one. A long piece is
+streamed instead: what all open starts have in common is emitted while it is read.
 """
 
 from __future__ import annotations
@@ -24,10 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Bounds of what a worker remembers; beyond them it starts anew, results stay the same.
-MAX_PAIRS = 1 << 17
-MAX_WORDS = 1 << 17
-MAX_MOVES = 1 << 17
+MAX_PAIRS = 1 << 18
+MAX_STATES = 1 << 18
+KNOWN_BYTES = 1 << 26  # of parts of texts and their ids, with what their entries take
+ENTRY_BYTES = 200
 SLICE_IDS = 1 << 16
+LONG_PIECE = 96  # bytes from which a piece is streamed
+BATCH_CHARS = 1 << 21  # of texts that are encoded together
 
 # White space and controls on which engines differ; texts that hold one are not cut.
 _ODD_WHITE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
@@ -55,12 +61,56 @@ def merge_by_rank(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[part] for part in parts]
 
 
+class Moves:
+    """Transitions in flat arrays: an open-addressed table from state and byte to the next state and the last token."""
+
+    def __init__(self) -> None:
+        self.size = 0
+        self.key = np.full(1 << 12, -1, dtype=np.int64)
+        self.to = np.zeros(1 << 12, dtype=np.int32)
+        self.token = np.zeros(1 << 12, dtype=np.int32)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, or of the gap where it belongs."""
+        mask = len(self.key) - 1
+        at = (keys * -0x61C8864680B583EB >> 33) & mask
+        held = self.key[at]
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
+        while len(open_):
+            next_ = (at[open_] + 1) & mask
+            at[open_] = next_
+            held = self.key[next_]
+            open_ = open_[(held != keys[open_]) & (held >= 0)]
+        return at
+
+    def add(self, keys: np.ndarray, to: np.ndarray, token: np.ndarray) -> None:
+        """Different keys that are not there yet; at least half of the table stays free."""
+        if (self.size + len(keys)) * 2 > len(self.key):
+            old = self.key >= 0
+            rows = [np.concatenate([mine[old], more]) for mine, more in ((self.key, keys), (self.to, to), (self.token, token))]
+            room = 1 << int(4 * len(rows[0])).bit_length()
+            self.size, self.key = 0, np.full(room, -1, dtype=np.int64)
+            self.to, self.token = np.zeros(room, dtype=np.int32), np.zeros(room, dtype=np.int32)
+            keys, to, token = rows
+        left = np.arange(len(keys))
+        while len(left):
+            at = self.places(keys[left])
+            _, first = np.unique(at, return_index=True)  # two keys may ask for the same gap
+            done = left[first]
+            self.key[at[first]], self.to[at[first]], self.token[at[first]] = keys[done], to[done], token[done]
+            left = np.delete(left, first)
+        self.size += len(keys)
+
+
 class Transducer:
-    """Bytes in, token ids out, one piece of the pattern at a time."""
+    """Bytes in, token ids out, pieces of the pattern each for itself."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.lengths = np.zeros(max(self.tokens, default=-1) + 1, dtype=np.int64)
+        for rank, token in self.tokens.items():
+            self.lengths[rank] = len(token)
         # vocabulary tree: node and byte -> node; node -> the token that ends there
         self.next: dict[int, int] = {}
         self.ends: dict[int, int] = {}
@@ -74,18 +124,21 @@ class Transducer:
                     node = self.next[key] = nodes
                     nodes += 1
             self.ends[node] = rank
+        self.inner = bytearray(nodes)  # nodes that a token may go on from
+        for key in self.next:
+            self.inner[key >> 8] = 1
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.never = max(ranks.values(), default=0) + 2  # a rank after all others
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        # A state is a tuple of open starts (node, last token before the start), -1 for none.
+        # A state is a tuple of open starts: node << 32 | last token before the start + 1, 0 for none.
         self.states: dict[tuple, int] = {}
         self.open: list[tuple] = []
-        self.moves: dict[int, tuple[int, int, tuple]] = {}
-        self.start = self.state(((0, -1),))
+        self.moves = Moves()
+        self.state((0,))
 
     def state(self, open_: tuple) -> int:
         number = self.states.get(open_)
@@ -131,11 +184,12 @@ class Transducer:
         """
         if left < 0:
             return True
-        known = self.pairs.get((left, right))
+        key = left << 32 | right
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self._apart(left, right)
+            known = self.pairs[key] = self._apart(left, right)
         return known
 
     def _apart(self, left: int, right: int) -> bool:
@@ -157,45 +211,88 @@ class Transducer:
                 # a merge of the same rank further right comes after one at the border
                 until, b = b + 1, outer[0]
 
-    def move(self, state: int, byte: int) -> tuple[int, int, tuple]:
-        """Next state, the token that ends here (-1: none) and the open starts' positions kept.
+    def move(self, open_: tuple, byte: int) -> tuple[tuple, int, list[int], int]:
+        """Next open starts, the token that ends here (-1: none), which starts stay open and which one ends.
 
-        The last entry lists which of the former starts are still open; a start at the new
-        position is added if a token of the encoding ends there.
+        A start at the new position is added if a token of the encoding ends there.
         """
-        key = state << 8 | byte
-        known = self.moves.get(key)
-        if known is not None:
-            return known
-        open_, kept, left = [], [], -2
-        for i, (node, before) in enumerate(self.open[state]):
-            node = self.next.get(node << 8 | byte)
+        after, kept, left, ended = [], [], -1, -1
+        for i, start in enumerate(open_):
+            node = self.next.get(start >> 32 << 8 | byte)
             if node is None:
                 continue
-            open_.append((node, before))
-            kept.append(i)
-            token = self.ends.get(node)
-            if token is not None and left == -2 and self.reachable(token) and self.fits(before, token):
-                left = i
-                ended = token
-        if left != -2:
-            open_.append((0, ended))
-        known = (self.state(tuple(open_)), ended if left != -2 else -1, (tuple(kept), left))
-        if len(self.moves) < MAX_MOVES:
-            self.moves[key] = known
-        return known
+            before = start & 0xFFFFFFFF
+            if self.inner[node]:
+                after.append(node << 32 | before)
+                kept.append(i)
+            if left < 0:
+                token = self.ends.get(node)
+                if token is not None and self.reachable(token) and self.fits(before - 1, token):
+                    left, ended = i, token
+        if left >= 0:
+            after.append(ended + 1)
+        return tuple(after), ended, kept, left
+
+    def step(self, states: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states and last tokens; transitions that are not known yet are computed once each."""
+        keys = states << 8 | data
+        at = self.moves.places(keys)
+        missing = self.moves.key[at] < 0
+        if missing.any():
+            new = np.unique(keys[missing])
+            found = [self.move(self.open[key >> 8], key & 255)[:2] for key in new.tolist()]
+            to = np.array([self.state(open_) for open_, _ in found], dtype=np.int32)
+            self.moves.add(new, to, np.array([token for _, token in found], dtype=np.int32))
+            at = self.moves.places(keys)
+        return self.moves.to[at].astype(np.int64), self.moves.token[at]
+
+    def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after the other, and the number of ids of each."""
+        if len(self.open) >= MAX_STATES:
+            self.reset()
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        ends = np.cumsum(lengths)
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.int64)
+        # the longest first, so that those still running are always the first ones
+        order = np.argsort(-lengths, kind="stable")
+        begins = (ends - lengths)[order]
+        running = np.searchsorted(-lengths[order], -np.arange(lengths.max(initial=0)), side="left")
+        states = np.zeros(len(pieces), dtype=np.int64)
+        last = np.empty(len(data), dtype=np.int32)
+        for place, n in enumerate(running.tolist()):
+            at = begins[:n] + place
+            states[:n], last[at] = self.step(states[:n], data[at])
+        # tokens from the last one backwards
+        numbers, left = np.flatnonzero(lengths), lengths.copy()
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        steps = []
+        while len(numbers):
+            tokens = last[(ends - lengths)[numbers] + left[numbers] - 1]
+            if (tokens < 0).any():
+                raise ValueError("the vocabulary has no token for a byte")
+            steps.append((numbers, tokens))
+            counts[numbers] += 1
+            left[numbers] -= self.lengths[tokens]
+            numbers = numbers[left[numbers] > 0]
+        ids = np.empty(int(counts.sum()), dtype="<u4")
+        place = np.cumsum(counts)
+        for numbers, tokens in steps:
+            place[numbers] -= 1
+            ids[place[numbers]] = tokens
+        return ids, counts
 
     def encode(self, piece: bytes) -> list[int]:
-        """Ids of one piece. Settled tokens leave the buffer as soon as all open starts share them."""
-        if len(self.moves) >= MAX_MOVES:
-            self.reset()
+        """Ids of one piece of any length. Tokens leave the buffer as soon as all open starts share them."""
         out: list[int] = []
-        state = self.start
+        open_: tuple = (0,)
         # for each open start the tokens before it that are not yet in ``out``
         paths: list[tuple] = [()]
         final: tuple = ()
+        ended = -1
         for byte in piece:
-            state, ended, (kept, at) = self.move(state, byte)
+            open_, ended, kept, at = self.move(open_, byte)
+            if not open_:
+                raise ValueError("the vocabulary has no token for a byte")
             grown = [paths[i] for i in kept]
             if at >= 0:
                 final = (*paths[at], ended)
@@ -211,9 +308,9 @@ class Transducer:
                     shared += 1
                 out.extend(paths[0][:shared])
                 paths, final = [p[shared:] for p in paths], final[shared:]
-        if ended >= 0:
-            out.extend(final)
-        return out
+        if piece and ended < 0:
+            raise ValueError("the vocabulary has no token for a byte")
+        return [*out, *final]
 
 
 class Utf8Decoder:
@@ -280,55 +377,76 @@ class Utf8Decoder:
         return rest
 
 
-class _Known(dict):
-    """Packed ids of parts of texts, computed when first asked for."""
-
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, part: str) -> bytes:
-        value = self.make(part)
-        if len(part) <= 64:
-            if len(self) >= MAX_WORDS:
-                self.clear()
-            self[part] = value
-        return value
-
-
 class Codec:
     """Encoder and decoder of one vocabulary.
 
     A match of the pattern holds white space only as one blank at its begin or as a run of it. A text can
-    therefore be cut before each run of white space without changing a match, and the parts are
-    remembered.
+    therefore be cut before each run of white space without changing a match. The different parts of a batch
+    of texts are encoded together, and remembered up to a bound of bytes.
     """
 
     def __init__(self, path: str, pattern: str):
         self.fst = Transducer(load_ranks(path))
         self.pattern = regex.compile(pattern)
-        self.first = _Known(self.pack)
-        self.later = _Known(lambda part: self.pack(" " + part))
+        self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
         size = max(self.fst.tokens, default=-1) + 1
         self.bytes_of = [self.fst.tokens.get(i, b"") for i in range(size)]
 
-    def pack(self, part: str) -> bytes:
-        ids: list[int] = []
-        for match in self.pattern.findall(part):
-            ids.extend(self.fst.encode(match.encode("utf-8")))
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def encode_packed(self, text: str) -> bytes:
-        """Token ids of a whole text as little-endian unsigned 32-bit integers."""
+    def encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Packed ids of each part; every different piece of them is encoded once."""
+        found = [self.pattern.findall(part) for part in parts]
+        numbers: dict[str, int] = {}
+        which = [numbers.setdefault(piece, len(numbers)) for pieces in found for piece in pieces]
+        pieces = [piece.encode("utf-8") for piece in numbers]
+        short = [i for i, piece in enumerate(pieces) if len(piece) < LONG_PIECE]
+        ids, counts = self.fst.encode_all([pieces[i] for i in short])
+        packed, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        coded: list[bytes] = [b""] * len(pieces)
+        for i, begin, end in zip(short, [0, *ends], ends, strict=False):
+            coded[i] = packed[begin:end]
+        for i, piece in enumerate(pieces):
+            if len(piece) >= LONG_PIECE:
+                coded[i] = np.array(self.fst.encode(piece), dtype="<u4").tobytes()
+        at = iter(which)
+        return [b"".join([coded[next(at)] for _ in pieces]) for pieces in found]
+
+    def parts(self, text: str) -> list[str]:
         if _ODD_WHITE.search(text):
-            return self.pack(text)
+            return [text]
         if _WHITE_RUN.search(text):
-            return b"".join(map(self.first.__getitem__, _PARTS.findall(text)))
+            return _PARTS.findall(text)
         head, *rest = text.split(" ")
-        return self.first[head] + b"".join(map(self.later.__getitem__, rest))
+        return [head, *[" " + part for part in rest]]
+
+    def encode_some(self, texts: list[str]) -> list[bytes]:
+        parted = [self.parts(text) for text in texts]
+        new = list({part for parts in parted for part in parts if part not in self.known})
+        own = dict(zip(new, self.encode_parts(new), strict=True))
+        found = self.known.get
+        packed = [b"".join([own[part] if (ids := found(part)) is None else ids for part in parts]) for parts in parted]
+        for part, ids in own.items():
+            if len(part) <= 64:
+                self.known[part] = ids
+                self.known_bytes += ENTRY_BYTES + len(part) + len(ids)
+        if self.known_bytes > KNOWN_BYTES:
+            self.known, self.known_bytes = {}, 0
+        return packed
+
+    def encode_many(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Token ids of whole texts as little-endian unsigned 32-bit integers, a bounded number of characters at a time."""
+        held, chars = [], 0
+        for text in texts:
+            held.append(text)
+            chars += len(text)
+            if chars >= BATCH_CHARS:
+                yield from self.encode_some(held)
+                held, chars = [], 0
+        yield from self.encode_some(held)
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids of a whole text. Each match of the pattern is encoded on its own."""
-        return np.frombuffer(self.encode_packed(text), dtype="<u4")
+        return np.frombuffer(self.encode_some([text])[0], dtype="<u4")
 
     def decode(self, ids: Iterable[int]) -> Iterator[str]:
         """Text in parts; a character may be spread over several tokens and parts."""
@@ -356,7 +474,7 @@ def encode_ids(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf("array<int>")
     def ids(column: pa.Array) -> pa.Array:
         own = codec(path, pattern)
-        values = [own.encode(t or "").view("<i4") for t in column.to_pylist()]
+        values = [np.frombuffer(packed, dtype="<i4") for packed in own.encode_many(t.as_py() or "" for t in column)]
         ends = np.cumsum([0, *map(len, values)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*values, np.zeros(0, "<i4")])))
 
@@ -387,8 +505,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
     def digests(column: pa.Array) -> pa.Array:
         own = codec(path, pattern)
         counts, encoded, decoded = [], [], []
-        for i in range(len(column)):
-            packed = own.encode_packed(column[i].as_py() or "")
+        for packed in own.encode_many(text.as_py() or "" for text in column):
             counts.append(len(packed) // 4)
             encoded.append(hashlib.sha256(packed).hexdigest())
             back = hashlib.sha256()

@@ -56,12 +56,42 @@ def test_byte_bpe_long_texts(codec, library):
 
 
 def test_transducer_survives_its_bounds(library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "MAX_MOVES", 50)
+    monkeypatch.setattr(byte_bpe, "MAX_STATES", 50)
     monkeypatch.setattr(byte_bpe, "MAX_PAIRS", 20)
-    monkeypatch.setattr(byte_bpe, "MAX_WORDS", 3)
+    monkeypatch.setattr(byte_bpe, "KNOWN_BYTES", 500)
+    monkeypatch.setattr(byte_bpe, "LONG_PIECE", 9)
+    monkeypatch.setattr(byte_bpe, "BATCH_CHARS", 30)
     small = byte_bpe.Codec(RANKS, public_tokenizers.PATTERN)
-    for text in ("straightforward interpolation", "unbelievable occurrences everywhere", "naïve façade"):
-        assert small.encode(text).tolist() == library.encode_ordinary(text)
+    texts = ["straightforward interpolation", "", "unbelievable occurrences everywhere", "naïve façade", "naïve façade"]
+    for _ in range(2):
+        packed = list(small.encode_many(texts))
+        assert [np.frombuffer(p, "<u4").tolist() for p in packed] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_vocabulary_without_a_byte(tmp_path, monkeypatch):
+    path = tmp_path / "v.tiktoken"
+    path.write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for i, t in enumerate([b"a", b"b", b"ab"])))
+    own = byte_bpe.Codec(str(path), r"\S+|\s+")
+    assert own.encode("abab").tolist() == [2, 2] and own.encode("").tolist() == []
+    for long in (96, 1):
+        monkeypatch.setattr(byte_bpe, "LONG_PIECE", long)
+        for text in ("abc", "cab", "aca"):
+            with pytest.raises(ValueError, match="no token for a byte"):
+                own.encode(text)
+
+
+def test_table_of_moves_keeps_every_key():
+    rng = np.random.default_rng(1)
+    moves, kept = byte_bpe.Moves(), {}
+    for _ in range(40):
+        keys = np.setdiff1d(rng.integers(0, 1 << 34, 700), np.array(list(kept), dtype=np.int64))
+        values = rng.integers(0, 1 << 30, len(keys)).astype(np.int32)
+        moves.add(keys, values, values + 1)
+        kept |= dict(zip(keys.tolist(), values.tolist(), strict=True))
+    keys = np.array(list(kept))
+    at = moves.places(keys)
+    assert (moves.key[at] == keys).all() and moves.to[at].tolist() == list(kept.values())
+    assert (moves.token[at] == moves.to[at] + 1).all() and moves.size == len(kept)
 
 
 @settings(max_examples=200, deadline=None)
