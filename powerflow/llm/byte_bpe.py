@@ -393,6 +393,13 @@ class Codec:
         size = max(self.fst.tokens, default=-1) + 1
         self.bytes_of = [self.fst.tokens.get(i, b"") for i in range(size)]
 
+    def forget(self) -> None:
+        """Keep the vocabulary and nothing that texts have added."""
+        self.known, self.known_bytes = {}, 0
+        self.fst.pairs.clear()
+        self.fst.reset()
+        pa.default_memory_pool().release_unused()
+
     def encode_parts(self, parts: list[str]) -> list[bytes]:
         """Packed ids of each part; every different piece of them is encoded once."""
         found = [self.pattern.findall(part) for part in parts]
@@ -468,16 +475,27 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
+def _each(columns: Iterator[pa.Array], own: Codec, make) -> Iterator[pa.Array]:
+    """Results of a task's columns. What the task has learned goes with it, as other work shares the worker."""
+    try:
+        for column in columns:
+            yield make(own.encode_many(text.as_py() or "" for text in column))
+    finally:
+        own.forget()
+
+
 def encode_ids(text: Column, path: str, pattern: str) -> Column:
     """Token ids of a text column as an array; NULL and empty texts give an empty array."""
 
-    @F.arrow_udf("array<int>")
-    def ids(column: pa.Array) -> pa.Array:
-        own = codec(path, pattern)
-        values = [np.frombuffer(packed, dtype="<i4") for packed in own.encode_many(t.as_py() or "" for t in column)]
+    def arrays(coded: Iterator[bytes]) -> pa.Array:
+        values = [np.frombuffer(packed, dtype="<i4") for packed in coded]
         ends = np.cumsum([0, *map(len, values)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*values, np.zeros(0, "<i4")])))
 
+    @F.arrow_udf("array<int>")
+    def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _each(columns, codec(path, pattern), arrays)
+
     return ids(F.coalesce(text.cast("string"), F.lit("")))
 
 
@@ -501,11 +519,10 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
     as empty.
     """
 
-    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digests(column: pa.Array) -> pa.Array:
+    def digested(coded: Iterator[bytes]) -> pa.Array:
         own = codec(path, pattern)
         counts, encoded, decoded = [], [], []
-        for packed in own.encode_many(text.as_py() or "" for text in column):
+        for packed in coded:
             counts.append(len(packed) // 4)
             encoded.append(hashlib.sha256(packed).hexdigest())
             back = hashlib.sha256()
@@ -517,4 +534,8 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
             ["n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _each(columns, codec(path, pattern), digested)
+
     return df.withColumn("bpe", digests(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
