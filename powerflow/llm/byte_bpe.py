@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,14 +27,16 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from powerflow.llm.common import release_memory
+
 # Bounds of what a worker remembers; beyond them it starts anew, results stay the same.
-MAX_PAIRS = 1 << 18
+MAX_PAIRS = 1 << 16
 MAX_STATES = 1 << 18
-KNOWN_BYTES = 1 << 26  # of parts of texts and their ids, with what their entries take
+KNOWN_BYTES = 3 << 24  # of parts of texts and their ids, with what their entries take
 ENTRY_BYTES = 200
 SLICE_IDS = 1 << 16
 LONG_PIECE = 96  # bytes from which a piece is streamed
-BATCH_CHARS = 1 << 21  # of texts that are encoded together
+BATCH_CHARS = 1 << 20  # of texts that are encoded together
 
 # White space and controls on which engines differ; texts that hold one are not cut.
 _ODD_WHITE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
@@ -105,6 +108,8 @@ class Moves:
 class Transducer:
     """Bytes in, token ids out, pieces of the pattern each for itself."""
 
+    BEGIN = bytes(8)
+
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
@@ -134,13 +139,13 @@ class Transducer:
         self.reset()
 
     def reset(self) -> None:
-        # A state is a tuple of open starts: node << 32 | last token before the start + 1, 0 for none.
-        self.states: dict[tuple, int] = {}
-        self.open: list[tuple] = []
+        # A state packs its open starts: node << 32 | last token before the start + 1, 0 for none.
+        self.states: dict[bytes, int] = {}
+        self.open: list[bytes] = []
         self.moves = Moves()
-        self.state((0,))
+        self.state(self.BEGIN)
 
-    def state(self, open_: tuple) -> int:
+    def state(self, open_: bytes) -> int:
         number = self.states.get(open_)
         if number is None:
             number = self.states[open_] = len(self.open)
@@ -211,13 +216,13 @@ class Transducer:
                 # a merge of the same rank further right comes after one at the border
                 until, b = b + 1, outer[0]
 
-    def move(self, open_: tuple, byte: int) -> tuple[tuple, int, list[int], int]:
+    def move(self, open_: bytes, byte: int) -> tuple[bytes, int, list[int], int]:
         """Next open starts, the token that ends here (-1: none), which starts stay open and which one ends.
 
         A start at the new position is added if a token of the encoding ends there.
         """
         after, kept, left, ended = [], [], -1, -1
-        for i, start in enumerate(open_):
+        for i, start in enumerate(memoryview(open_).cast("Q")):
             node = self.next.get(start >> 32 << 8 | byte)
             if node is None:
                 continue
@@ -231,7 +236,7 @@ class Transducer:
                     left, ended = i, token
         if left >= 0:
             after.append(ended + 1)
-        return tuple(after), ended, kept, left
+        return array("Q", after).tobytes(), ended, kept, left
 
     def step(self, states: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Next states and last tokens; transitions that are not known yet are computed once each."""
@@ -284,7 +289,7 @@ class Transducer:
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece of any length. Tokens leave the buffer as soon as all open starts share them."""
         out: list[int] = []
-        open_: tuple = (0,)
+        open_ = self.BEGIN
         # for each open start the tokens before it that are not yet in ``out``
         paths: list[tuple] = [()]
         final: tuple = ()
@@ -393,13 +398,6 @@ class Codec:
         size = max(self.fst.tokens, default=-1) + 1
         self.bytes_of = [self.fst.tokens.get(i, b"") for i in range(size)]
 
-    def forget(self) -> None:
-        """Keep the vocabulary and nothing that texts have added."""
-        self.known, self.known_bytes = {}, 0
-        self.fst.pairs.clear()
-        self.fst.reset()
-        pa.default_memory_pool().release_unused()
-
     def encode_parts(self, parts: list[str]) -> list[bytes]:
         """Packed ids of each part; every different piece of them is encoded once."""
         found = [self.pattern.findall(part) for part in parts]
@@ -475,26 +473,28 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
-def _each(columns: Iterator[pa.Array], own: Codec, make) -> Iterator[pa.Array]:
-    """Results of a task's columns. What the task has learned goes with it, as other work shares the worker."""
+def _each(columns: Iterator[pa.Array], path: str, pattern: str, make) -> Iterator[pa.Array]:
+    """Results of a task's columns. The codec goes with its task, as other work shares the worker's memory."""
+    own = Codec(path, pattern)
     try:
         for column in columns:
-            yield make(own.encode_many(text.as_py() or "" for text in column))
+            yield make(own, own.encode_many(text.as_py() or "" for text in column))
     finally:
-        own.forget()
+        del own
+        release_memory()
 
 
 def encode_ids(text: Column, path: str, pattern: str) -> Column:
     """Token ids of a text column as an array; NULL and empty texts give an empty array."""
 
-    def arrays(coded: Iterator[bytes]) -> pa.Array:
+    def arrays(_: Codec, coded: Iterator[bytes]) -> pa.Array:
         values = [np.frombuffer(packed, dtype="<i4") for packed in coded]
         ends = np.cumsum([0, *map(len, values)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*values, np.zeros(0, "<i4")])))
 
     @F.arrow_udf("array<int>")
     def ids(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from _each(columns, codec(path, pattern), arrays)
+        yield from _each(columns, path, pattern, arrays)
 
     return ids(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -519,8 +519,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
     as empty.
     """
 
-    def digested(coded: Iterator[bytes]) -> pa.Array:
-        own = codec(path, pattern)
+    def digested(own: Codec, coded: Iterator[bytes]) -> pa.Array:
         counts, encoded, decoded = [], [], []
         for packed in coded:
             counts.append(len(packed) // 4)
@@ -536,6 +535,6 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from _each(columns, codec(path, pattern), digested)
+        yield from _each(columns, path, pattern, digested)
 
     return df.withColumn("bpe", digests(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))

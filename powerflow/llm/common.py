@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,3 +73,12 @@ def crc_part(id_col: Column, parts: int) -> Column:
     """Remainder of the CRC-32 of the id as text; NULL ids count as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % parts
 
+
+def release_memory() -> None:
+    """Give what a task no longer needs back to the system; the worker stays for other work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
