@@ -31,12 +31,12 @@ from powerflow.llm.common import release_memory
 
 # Bounds of what a worker remembers; beyond them it starts anew, results stay the same.
 MAX_PAIRS = 1 << 16
-MAX_STATES = 1 << 18
-KNOWN_BYTES = 3 << 24  # of parts of texts and their ids, with what their entries take
+MAX_STATES = 1 << 17
+KNOWN_BYTES = 1 << 25  # of parts of texts and their ids, with what their entries take
 ENTRY_BYTES = 200
 SLICE_IDS = 1 << 16
 LONG_PIECE = 96  # bytes from which a piece is streamed
-BATCH_CHARS = 1 << 20  # of texts that are encoded together
+BATCH_CHARS = 1 << 19  # of texts that are encoded together
 
 # White space and controls on which engines differ; texts that hold one are not cut.
 _ODD_WHITE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")

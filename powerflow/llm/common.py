@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+# Rows are handed to Python in batches of about this size, or of one row; by default their number alone counts.
+BATCH_BYTES = 1 << 22
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table by a path that only Spark needs to understand."""
+    """A given table by a path that only Spark needs to understand, for tasks that hold few of its texts at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
