@@ -191,7 +191,7 @@ def write_archives(
 
     key = _sort_key()
     sorted_rows = (
-        records.withColumn("shard", shard_of(key)).repartition(shards, "shard")
+        records.withColumn("shard", shard_of(key)).repartitionById(shards, F.col("shard"))  # a shard is a task
         .sortWithinPartitions("shard", key, "digest")
     )
     manifest = written(sorted_rows.mapInArrow(write, MANIFEST), "warc-manifest")

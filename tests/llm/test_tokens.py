@@ -19,7 +19,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from powerflow.llm import byte_bpe, decontaminate, kneser_ney, piece_counts, quality
+from powerflow.llm import byte_bpe, decontaminate, exact_dedup, kneser_ney, piece_counts, quality
 from tests.llm.test_dedup import classes_by_definition
 from tests.llm.test_words import UPPER, words_by_definition
 
@@ -315,3 +315,31 @@ def test_pipeline(spark, labelled, prose, tmp_path):
     assert set(clean) == set(distinct) - bad and bad == {1003}
     last = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in last.collect()} == set(clean)
+
+
+def test_pipeline_of_odd_rows(spark, labelled, prose, tmp_path):
+    """NULL ids and texts, repeated rows, empty texts and columns named like the operators' own; then an empty table."""
+    df, labels = labelled
+    odd = [(None, None), (None, prose(5, 40)), (7000, None), (7001, ""), (7002, "..."), (7003, prose(6, 40)), (7003, prose(6, 40))]
+    rows = df.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
+    rows = rows.withColumns({name: F.lit(name) for name in ("id", "row", "text_key", "keep_id", "score", "own", "bpe", "kept")})
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, prose(8, 20)), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for docs in (spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/documents.parquet").filter("false")):
+        before = docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)), name)
+            assert docs.columns == rows.columns
+            after = docs.count()
+            assert after <= before
+            before = after
+        last = corpus_pipeline.encode(spark, docs, str(tmp_path))
+        assert last.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and last.count() == before
+    once = exact_dedup.keep_one(spark.createDataFrame(odd, "doc_id long, text string"))
+    assert sorted(r["text"] or "" for r in once.collect()) == sorted(["", "...", prose(5, 40), prose(6, 40)])
+
+
+def test_archives_have_a_task_a_shard(spark):
+    rows = spark.range(40).select(F.col("id").cast("int").alias("shard")).repartitionById(40, F.col("shard"))
+    assert rows.select(F.spark_partition_id().alias("p"), "shard").filter("p <> shard").count() == 0
