@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 
 from powerflow.llm.common import release_memory
 
-# Bounds of what a worker remembers; beyond them it starts anew, results stay the same.
+# Bounds of what a task remembers; beyond them it starts anew, results stay the same. A ``memory`` of 2 doubles the
+# last two, which spends some 60 MB a task to compute fewer transitions twice.
 MAX_PAIRS = 1 << 16
+ENTRY_BYTES = 200
 MAX_STATES = 1 << 17
 KNOWN_BYTES = 1 << 25  # of parts of texts and their ids, with what their entries take
-ENTRY_BYTES = 200
 SLICE_IDS = 1 << 16
 LONG_PIECE = 96  # bytes from which a piece is streamed
 BATCH_CHARS = 1 << 19  # of texts that are encoded together
@@ -110,8 +111,8 @@ class Transducer:
 
     BEGIN = bytes(8)
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], max_states: int | None = None):
+        self.ranks, self.max_states = ranks, max_states or MAX_STATES
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.lengths = np.zeros(max(self.tokens, default=-1) + 1, dtype=np.int64)
         for rank, token in self.tokens.items():
@@ -253,7 +254,7 @@ class Transducer:
 
     def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after the other, and the number of ids of each."""
-        if len(self.open) >= MAX_STATES:
+        if len(self.open) >= self.max_states:
             self.reset()
         lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         ends = np.cumsum(lengths)
@@ -390,8 +391,9 @@ class Codec:
     of texts are encoded together, and remembered up to a bound of bytes.
     """
 
-    def __init__(self, path: str, pattern: str):
-        self.fst = Transducer(load_ranks(path))
+    def __init__(self, path: str, pattern: str, memory: int = 1):
+        self.fst = Transducer(load_ranks(path), MAX_STATES * memory)
+        self.max_known = KNOWN_BYTES * memory
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
         self.known_bytes = 0
@@ -434,7 +436,7 @@ class Codec:
             if len(part) <= 64:
                 self.known[part] = ids
                 self.known_bytes += ENTRY_BYTES + len(part) + len(ids)
-        if self.known_bytes > KNOWN_BYTES:
+        if self.known_bytes > self.max_known:
             self.known, self.known_bytes = {}, 0
         return packed
 
@@ -473,9 +475,9 @@ def codec(path: str, pattern: str) -> Codec:
     return _CODECS[path, pattern]
 
 
-def _each(columns: Iterator[pa.Array], path: str, pattern: str, make) -> Iterator[pa.Array]:
+def _each(columns: Iterator[pa.Array], path: str, pattern: str, make, memory: int = 1) -> Iterator[pa.Array]:
     """Results of a task's columns. The codec goes with its task, as other work shares the worker's memory."""
-    own = Codec(path, pattern)
+    own = Codec(path, pattern, memory)
     try:
         for column in columns:
             yield make(own, own.encode_many(text.as_py() or "" for text in column))
@@ -510,7 +512,7 @@ def decode_ids(ids: Column, path: str, pattern: str) -> Column:
     return text(ids)
 
 
-def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text", memory: int = 1) -> DataFrame:
     """Rows with the digests of their token ids and of the bytes decoded from them.
 
     Adds ``n_tokens``, ``ids_sha256`` (ids as little-endian unsigned 32-bit integers) and
@@ -535,6 +537,6 @@ def round_trip(df: DataFrame, path: str, pattern: str, text_col: str = "text") -
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        yield from _each(columns, path, pattern, digested)
+        yield from _each(columns, path, pattern, digested, memory)
 
     return df.withColumn("bpe", digests(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))

@@ -99,7 +99,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path(BYTE_VOCABULARY)
-    coded = byte_bpe.round_trip(documents, path, public_tokenizers.PATTERN)
+    coded = byte_bpe.round_trip(documents, path, public_tokenizers.PATTERN, memory=2)
     return coded.select("doc_id", F.col("bpe.n_tokens"), F.col("bpe.ids_sha256"), F.col("bpe.decoded_sha256"))
 
 
