@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from powerflow.operators.grouping import as_list, with_group_values
+from powerflow.operators.grouping import as_list
+from powerflow.session import written
 
 
 def time_extent(
@@ -49,23 +50,30 @@ def collect_observations(
     """Payloads of time-ordered values (time, watts, copies) per location, source and observer.
 
     A location's history has no upper size, so a payload covers one hour, and an hour with more
-    than ``max_values`` values is spread over several payloads of about that size (``part``).
+    than ``max_values`` values, copies included, is spread over payloads of at most about that size
+    (``part``).
     Identical values are one entry with its number of copies; they are counted before the shuffle,
     so a value repeated without end is no larger than any other.
+
+    Hours that need several payloads are found first and written; they are few, and where Catalyst can
+    broadcast them every row knows its payload before it moves. Values are then shuffled twice, counted
+    and gathered, and never to learn the size of their hour.
     """
     slot = [*keys, "slot_start"]
     hour = F.date_trunc("hour", ts).cast(df.schema[ts].dataType)
-    values = (
-        df.withColumn("slot_start", hour)
-        .groupBy(*slot, F.col(ts).alias("_ts"), F.col(watts).alias("_watts"))
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    rows = df.select(*keys, hour.alias("slot_start"), F.col(ts).alias("_ts"), F.col(watts).alias("_watts"))
+    sizes = rows.groupBy(*slot).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_values)
+    names = {name: f"_large_{i}" for i, name in enumerate(slot)}
+    large = written(sizes.withColumn("_hash", F.xxhash64(*slot)).withColumnsRenamed(names), "large-hours")
+    same = F.col("_place") == F.col("_hash")
+    for name, other in names.items():
+        same = same & F.col(f"`{name}`").eqNullSafe(F.col(other))
+    placed = rows.withColumn("_place", F.xxhash64(*slot)).join(large, same, "left")
     parts = F.ceil(F.col("_n") / max_values)
-    numbered = with_group_values(values, slot, {"_n": F.count(F.lit(1))}).withColumn(
-        "part", F.pmod(F.xxhash64("_ts", "_watts"), parts).cast("int")
-    )
+    part = F.when(parts.isNull(), 0).otherwise(F.pmod(F.xxhash64("_ts", "_watts"), parts)).cast("int")
+    values = placed.groupBy(*slot, part.alias("part"), "_ts", "_watts").agg(F.count(F.lit(1)).alias("_copies"))
     entry = F.struct(
         F.col("_ts").alias("ts"), F.col("_watts").alias("watts"), F.col("_copies").alias("copies")
     )
     payload = F.sort_array(F.collect_list(entry)).alias("values")
-    return numbered.groupBy(*slot, "part").agg(payload)
+    return values.groupBy(*slot, "part").agg(payload)

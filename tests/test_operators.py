@@ -372,6 +372,8 @@ def test_payloads_are_bounded_and_ordered(frame):
     assert len(split) == 5
     assert all(values == sorted(values) for values in split)
     assert sorted(v for values in split for v in values) == [(i, 1) for i in range(250)]
+    plan = op.collect_observations(df, ["location_uuid"], max_values=50)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # to count the values and to gather them
 
 
 def test_summaries(frame):
