@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -52,6 +53,119 @@ def test_url_templates_learn_from_rules(pages):
     assert verdicts[2] == (None, "/bad/*", "block") and verdicts[1100][1:] == ("/good/*", "allow")
 
 
+def test_unruled_urls_of_a_host_differ(pages):
+    """Own siblings, other hosts and the host decide in turn; nothing depends on the depth of a path."""
+    rules = [("net", "/x/", "block"), ("net", "/y/", "allow"), ("all.org", "/", "block")]
+    urls = [f"http://h{h}.net/{top}/{n}" for h in range(30) for n in range(3) for top in "xy"]
+    urls += [f"http://a.org/{top}/{n}" for n in range(3) for top in "xyz"]
+    deep = "/".join(["d"] * 12)
+    urls += [f"http://all.org/{n}/q" for n in range(400)] + [f"http://a.net/{deep}/{name}" for name in ("k", "l", "k")]
+    found = {r["path"]: r for r in url_filter.judge(pages([(i, u, "") for i, u in enumerate(urls)]), rules).collect() if r["host"] in ("a.org", "a.net")}
+    verdicts = {path: (r["verdict"], r["evidence"]) for path, r in found.items()}
+    assert verdicts["/x/1"] == ("block", "other hosts") and verdicts["/y/1"] == ("allow", "other hosts")
+    assert verdicts["/z/1"] == ("allow", "all hosts")
+    assert found[f"/{deep}/k"]["template"] == f"/{deep}/k" and len(found) == 11
+
+
+def _purities(templates):
+    """Purity of each (host, template) from ``(host, steps, allowed, blocked)`` rows, read off the definition."""
+    z, w = url_filter.SAME_Z, url_filter.PRIOR_WEIGHT
+    nodes = {}
+    for host, steps, allowed, blocked in templates:
+        for depth in range(len(steps) + 1):
+            node = nodes.setdefault((host, steps[:depth]), [0, 0])
+            node[0] += blocked
+            node[1] += allowed + blocked
+    evidence = {}
+    for host, branch in nodes:
+        others = [k / n for (h, b), (k, n) in nodes.items() if b == branch and h != host and n]
+        evidence[host, branch] = (sum(others), len(others))
+    classes, done = {}, []
+    for host, branch in nodes:
+        classes.setdefault((host, branch[:-1]) if branch else (host, None), []).append((host, branch))
+    waiting = list(classes.values())
+    while waiting:
+        members = waiting.pop()
+        counts = {m: (nodes[m][0] + evidence[m][0], nodes[m][1] + evidence[m][1]) for m in members}
+        all_a, all_b = (sum(c[i] for c in counts.values()) for i in (0, 1))
+        sides = {}
+        for m, (a, b) in counts.items():
+            side = 0
+            if b and all_b - b:
+                joint, apart = all_a / all_b, a / b - (all_a - a) / (all_b - b)
+                error = max(joint * (1 - joint), 0) ** 0.5 * (1 / b + 1 / (all_b - b)) ** 0.5
+                side = (apart > z * error + 1e-6) - (apart < -z * error - 1e-6)
+            sides.setdefault(side, []).append(m)
+        if set(sides) == {0}:
+            done.append(members)
+        else:
+            waiting.extend(sides.values())
+    pool = {m: tuple(sum(nodes[x][i] for x in members) for i in (0, 1)) for members in done for m in members}
+    roots = [pool[m] for m in pool if not m[1] and pool[m][1]]
+    start = sum(k / n for k, n in roots) / len(roots) if roots else 0.0
+    found = {}
+    for host, steps, _, _ in templates:
+        purity = start
+        for depth in range(len(steps) + 1):
+            (k, n), (shares, hosts) = pool[host, steps[:depth]], evidence[host, steps[:depth]]
+            purity = (k + w * (shares + w * purity) / (hosts + w)) / (n + w)
+        found[host, "".join(steps)] = purity
+    return found
+
+
+def test_url_purities_are_those_of_the_definition(spark):
+    rng = random.Random(7)
+    rows = []
+    for _ in range(1500):
+        host, top = rng.choice(["", "a", "b", "c", "c", "c", "d"]), rng.choice("pqrstu")
+        steps = ["/" + top, "/" + rng.choice("mn"), "/*"][: rng.choice((0, 1, 2, 3, 3, 3))]
+        labelled = host in "abc" and top != "u" and rng.random() < 0.6
+        blocked = labelled and rng.random() < {"p": 0.95, "q": 0.9, "r": 0.1, "s": 0.5}.get(top, 0.0)
+        rows.append((host, f"/{len(rows)}", int(labelled and not blocked), int(blocked), steps, "".join(steps)))
+    schema = "host string, path string, allowed long, blocked long, steps array<string>, template string"
+    for part in (rows, rows[:40], [r[:2] + (0, 0) + r[4:] for r in rows[:40]], []):
+        found = {(r["host"], r["template"]): r for r in url_filter.template_purities(spark.createDataFrame(part, schema)).collect()}
+        wanted = _purities([(h, tuple(steps), allowed, blocked) for h, _, allowed, blocked, steps, _ in part])
+        assert found.keys() == wanted.keys()
+        assert all(abs(r["purity"] - wanted[key]) < 1e-5 for key, r in found.items())
+
+
+def test_url_templates_are_those_of_the_definition(spark):
+    rng = random.Random(8)
+    paths = {"", "/", "//", "/a/", "/a", "/a/9/x.html", "/é/1"} | {f"/{rng.choice('ab')}/{rng.choice('uvw')}{rng.randrange(90)}{rng.choice(['', '.html', '/', '/z', '/7'])}" for _ in range(400)}
+
+    def expected(urls):
+        found = {path: () for path in urls}
+        waiting = [((), [(path, tuple(re.findall(r"/[^/]*", path))) for path in urls])]
+        while waiting:
+            node, members = waiting.pop()
+            members = [(path, rest) for path, rest in members if rest]
+            varies = len({rest[0] for _, rest in members}) >= url_filter.MIN_VARIETY * (len(members) + url_filter.COMMON_URLS)
+            below = {}
+            for path, rest in members:
+                wild = [s != "/" and bool((varies and not i and len(members) > 1) or re.match(url_filter.NUMBERED, s)) for i, s in enumerate(rest)]
+                steps = [("/*" + "".join(re.findall(r"\.[A-Za-z][A-Za-z0-9]{0,4}$", s))) if w else s for s, w in zip(rest, wild, strict=True)]
+                taken = len(rest) if len(members) == 1 else 1
+                found[path] += tuple(steps[:taken])
+                below.setdefault(node + tuple(steps[:taken]), []).append((path, rest[taken:]))
+            waiting.extend(below.items())
+        return found
+
+    rows = [(host, path, 0, 0) for host, some in (("h", sorted(paths)), ("i", sorted(paths)[:9])) for path in some]
+    df = spark.createDataFrame(rows, "host string, path string, allowed long, blocked long")
+    found = {(r["host"], r["path"]): tuple(r["steps"]) for r in url_filter.path_templates(df).collect()}
+    wanted = {(host, path): steps for host in "hi" for path, steps in expected([p for h, p, *_ in rows if h == host]).items()}
+    assert found == wanted and any("/*" in steps for steps in found.values())
+
+
+def test_repeated_urls_count_once_for_a_template(pages):
+    rules = [("a.org", "/t/1", "block"), ("a.org", "/t/2", "allow")]
+    rows = [(i, f"http://a.org/t/{i}", "") for i in range(1, 60)]
+    once, often = pages(rows), pages(rows + [rows[0]] * 300)
+    found = [{r["id"]: (r["purity"], r["verdict"]) for r in url_filter.judge(df, rules).collect()} for df in (once, often)]
+    assert found[0] == found[1] and url_filter.judge(often, rules).count() == 359
+
+
 def test_main_text():
     html = """<!DOCTYPE html><title>no</title><body><header>Site</header><nav><ul><li>menu</ul></nav>
     <div class="cookie-notice">We use</div><article><h1>A &amp; B&nbsp;c</h1><p>one <b>two</b>three<p>four<br>five
