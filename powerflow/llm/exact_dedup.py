@@ -17,22 +17,34 @@ from powerflow.llm.common import documents_of, keep_marked
 from powerflow.operators.grouping import fact_join
 from powerflow.session import written
 
-# A chunk ends after a group of letters from this set, which prose of many languages has every few hundred
-# characters, but not before MIN_CHUNK of them. The bound is well below the mean distance of such places, so
-# texts that differ at their begin are soon cut at the same places. Where none follows, MAX_CHUNK is the end.
-BOUNDARY = "[aeiou][lnrs][dgt][aeiou]|[^\\x00-\\x7F][a-z][^\\x00-\\x7F]"
+# A chunk ends after ten bytes whose lowest bits follow one of these patterns, but not before MIN_CHUNK bytes. In text of
+# any script, in digits and in encoded data the lowest bits vary, so such places come every few hundred bytes and texts
+# that differ at their begin are soon cut at the same places. The patterns repeat a bit at every second or third place, as
+# the letters of some scripts all begin with the same byte or two. Where none follows, MAX_CHUNK is the end.
+BOUNDARY_BITS = ("1000101000", "0111010111", "1001001001")
 MIN_CHUNK = 256
 MAX_CHUNK = 8192
 
 
+def _boundary() -> str:
+    """A regular expression for the bytes before a boundary, each as the character of its number."""
+    with_bit = {str(bit): "[" + "".join(f"\\x{byte:02X}" for byte in range(bit, 256, 2)) + "]" for bit in (0, 1)}
+    return "|".join("".join(with_bit[bit] for bit in bits) for bits in BOUNDARY_BITS)
+
+
 def without_blanks(text: Column) -> Column:
     return F.regexp_replace(text, "[ \\t-\\r]+", "")
 
 
 def chunks_of(text: Column) -> Column:
-    """The text as an array of content-defined chunks; an empty text has none."""
-    pattern = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK - 4}}}?(?:{BOUNDARY})|.{{1,{MAX_CHUNK}}}"
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """The text's UTF-8 bytes as an array of content-defined chunks; an empty text has none.
+
+    A byte is the character of its number, so characters may be cut within, and different texts have different chunks.
+    """
+    as_bytes = F.decode(text.cast("binary"), "ISO-8859-1")
+    width = len(BOUNDARY_BITS[0])
+    pattern = f"(?s).{{{MIN_CHUNK - width},{MAX_CHUNK - width}}}?(?:{_boundary()})|.{{1,{MAX_CHUNK}}}"
+    return F.regexp_extract_all(as_bytes, F.lit(pattern), F.lit(0))
 
 
 def chunk_table(documents: DataFrame) -> DataFrame:
@@ -45,7 +57,7 @@ def chunk_table(documents: DataFrame) -> DataFrame:
     parts = F.transform(
         chunks_of(F.col("bare")),
         lambda c: F.struct(
-            F.xxhash64(c).alias("hash"), F.octet_length(c).alias("bytes"), F.unhex(F.sha2(c, 256)).alias("sha")
+            F.xxhash64(c).alias("hash"), F.length(c).alias("bytes"), F.unhex(F.sha2(c, 256)).alias("sha")
         ),
     )
     rows = docs.select(

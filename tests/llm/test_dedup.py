@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from powerflow.llm import exact_dedup, near_dedup
 from powerflow.llm.prob_minhash import REGISTERS, jaccard, signatures, weighted_sets
@@ -72,15 +73,26 @@ def test_empty_tables(documents):
     assert exact_dedup.keep_one(empty).columns == empty.columns
 
 
-def test_chunks_join_to_the_text(spark):
-    from pyspark.sql import functions as F
-
-    texts = ["".join(random.Random(2).choices("aeinrtdglosmkp", k=20000)), "日" * 20000, "", "x"]
-    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(exact_dedup.chunks_of(F.col("t")).alias("c")).collect()
-    assert ["".join(r["c"]) for r in rows] == texts
-    assert len(rows[0]["c"]) > 5 and len(rows[1]["c"]) == 3
-    shifted = spark.createDataFrame([("q" * 40 + texts[0],)], "t string").select(exact_dedup.chunks_of(F.col("t")).alias("c")).first()["c"]
-    assert len(set(shifted) & set(rows[0]["c"])) > len(shifted) // 2  # cuts follow the content
+SCRIPTS = {
+    "latin": "abcdefghijklmnopqrstuvwxyz", "digits": "0123456789", "base64": "ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/",
+    "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω", "hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+    "arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "thai": "กขคงจฉชซญดตถทธนบปผพภมยรลวสหอ", "hindi": "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
+    "chinese": "".join(map(chr, range(0x4E00, 0x5800))), "korean": "".join(map(chr, range(0xAC00, 0xB600))),
+}
+
+
+def test_chunks_join_to_the_text(spark, prose):
+    """Chunks are the text's bytes; what stands before a text changes few of them, whatever the script."""
+    rng = random.Random(5)
+    texts = {name: "".join(rng.choice(letters) for _ in range(20000)) for name, letters in SCRIPTS.items()}
+    texts |= {"prose": re.sub(" ", "", prose(3, 4000)), "short": "x", "line": "ab\ncd" * 3000, "one": "é" * 9000, "empty": ""}
+    rows = [(name, t, lead + t) for name, t in texts.items() for lead in ("q" * 40, "7", "ж")]
+    chunks = [exact_dedup.chunks_of(F.col(c)).alias(c) for c in ("t", "u")]
+    for name, t, u in spark.createDataFrame(rows, "name string, t string, u string").select("name", *chunks).collect():
+        assert b"".join(c.encode("latin-1") for c in t).decode() == texts[name]
+        assert all(len(c) <= exact_dedup.MAX_CHUNK for c in t) and all(len(c) >= exact_dedup.MIN_CHUNK for c in t[:-1])
+        if name in SCRIPTS or name == "prose":
+            assert len(t) > 15 and len(set(t) & set(u)) >= 0.6 * len(t), name
 
 
 def test_colliding_chunk_hashes_are_told_apart(spark):
