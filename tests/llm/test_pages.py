@@ -175,6 +175,19 @@ def test_main_text():
     assert main_text(parse(""), []) == "" and main_text(parse("plain"), []) == "plain"
 
 
+def test_markup_does_not_take_main_text():
+    """Words that only an article's own sections have, formulas and unclosed elements cost no text."""
+    for name in ("social-history", "searchTheory", "related-work", "comment_theory lead"):
+        assert main_text(parse(f'<article><p>a</p><div class="{name}"><p>b</p></div><section id={name.split()[0]}>c</section></article>'), []) == "a b c"
+    for name in ("ad", "ad-slot-3", "cookie-notice", "x comments", "sidebar-box", "related_posts", "CommentList"):
+        assert main_text(parse(f'<article><p>a</p><div class="{name}"><p>b</p></div><p>c</p></article>'), []) == "a c"
+    assert main_text(parse("<article><p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p></article>"), []) == "a x=1 b"
+    assert main_text(parse("<article><p>a <button>Copy</button> b</p><div><select><option>o<option>p</div><p>c</p></article>"), []) == "a b c"
+    nested = "<b>" * 20
+    assert main_text(parse(f"<article><p>{nested}one<p>two<p>three</article>"), []) == "one two three"
+    assert main_text(parse("<article>" + "<div>" * 3000 + "<p>deep" + "</div>" * 3000 + "<p>end" + " word" * 50000), []).startswith("deep end word")
+
+
 def test_page_differencing():
     frame = "<p>Welcome here</p><div><p>{}</p><p>{}</p></div><p>Read more</p>"
     page, other = parse(frame.format("one", "two")), parse(frame.format("three", "four"))
