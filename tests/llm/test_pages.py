@@ -206,6 +206,15 @@ def test_differencing_decides_within_and_beside_articles():
     assert main_text(page, [other]) == "More 0 0 long main text"
 
 
+def test_passages_that_articles_quote_stay():
+    page, *others = (
+        parse(f"<article><p>By our staff</p><p>text {n}</p><p>quoted by all</p><p>more {n}</p><p>Follow us</p><p>Share</p></article>") for n in range(3)
+    )
+    assert main_text(page, others) == "text 0 quoted by all more 0"
+    other = parse("<article><p>By our staff</p><p>text 9</p></article>")
+    assert main_text(page, [*others, other]) == "text 0 quoted by all more 0 Follow us Share"  # two quotes are no frame
+
+
 def test_aligned_is_a_longest_common_subsequence():
     rng = random.Random(4)
     for _ in range(60):
