@@ -16,7 +16,9 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from powerflow.session import written
 
 COPY_SHARE = 0.9  # pages that share so many lines of both may be copies
 _KEPT = "host string, digest binary, kept binary"
-OFTEN = 64  # occurrences of one line from which they are aligned in turn
+OFTEN = 16  # pairs of equal lines, for each line of two pages, above which bits align them
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -155,26 +157,20 @@ def parse(html: str) -> Page:
     return page
 
 
-def aligned(left: list[str], right: list[str]) -> set[int]:
+def aligned(left: list, right: list) -> set[int]:
     """Indices in ``left`` of a longest common subsequence of two lists of lines.
 
-    Of a line that occurs more than OFTEN times in both, the n-th occurrences are aligned with each other, so the work
-    stays near to proportional to the length.
+    Work and memory follow the pairs of equal lines; where lines that repeat make too many of them, rows of bits find the same indices.
     """
-    places: dict[str, list[int]] = {}
+    places: dict = {}
     for j, line in enumerate(right):
         places.setdefault(line, []).append(j)
-    seen: dict[str, int] = {}
+    if sum(len(places.get(line, ())) for line in left) > OFTEN * (len(left) + len(right)):
+        return _aligned_by_bits(left, places, len(right))
     tails: list[int] = []  # smallest end in ``right`` of a common subsequence of each length
     nodes: list[tuple[int, tuple | None]] = []
     for i, line in enumerate(left):
-        options = places.get(line)
-        if options is None:
-            continue
-        turn = seen[line] = seen.get(line, -1) + 1
-        if len(options) > OFTEN:
-            options = options[turn : turn + 1]
-        for j in reversed(options):
+        for j in reversed(places.get(line, ())):
             at = bisect_left(tails, j)
             node = (i, nodes[at - 1] if at else None)
             if at == len(tails):
@@ -190,6 +186,46 @@ def aligned(left: list[str], right: list[str]) -> set[int]:
     return found
 
 
+def _aligned_by_bits(left: list, places: dict, width: int) -> set[int]:
+    """What ``aligned`` finds, with its ``tails`` as the zero bits of one number for each line of ``left``.
+
+    A line costs a few operations on ``width`` bits, however often it occurs. The way back needs all rows: every so many are
+    kept, and those between are computed again.
+    """
+    every = (1 << width) - 1
+    used = [i for i, line in enumerate(left) if line in places]
+    step = isqrt(len(used)) + 1
+
+    @lru_cache(maxsize=16)
+    def occurrences(line) -> int:
+        bits = np.zeros(width, np.uint8)
+        bits[places[line]] = 1
+        return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+    def rows(first: int, row: int) -> list[int]:
+        found = [row]
+        for i in used[first : first + step]:
+            common = row & occurrences(left[i])
+            row = (row + common | row - common) & every
+            found.append(row)
+        return found
+
+    row, kept = every, []
+    for first in range(0, len(used), step):
+        kept.append((first, row))
+        row = rows(first, row)[-1]
+    found: set[int] = set()
+    end = (every ^ row).bit_length() - 1
+    while kept and end >= 0:
+        first, row = kept.pop()
+        before = rows(first, row)
+        for at in range(len(before) - 2, -1, -1):
+            if end >= 0 and before[at] >> end & 1:  # this line brought the end, so the one next to it is the end before
+                found.add(used[first + at])
+                end = ((every ^ before[at]) & ((1 << end) - 1)).bit_length() - 1
+    return found
+
+
 def _shared(lines: list, sizes: list[int], others: Iterable[list]) -> Iterator[set[int]]:
     """For each other page that shows the frame, the places of what it shares.
 

@@ -229,6 +229,35 @@ def test_aligned_is_a_longest_common_subsequence():
     assert len(aligned(["x"] * 5000, ["x"] * 5000)) == 5000
 
 
+def test_lines_that_repeat_often_are_aligned_exactly(monkeypatch):
+    rng = random.Random(5)
+    for letters, n in (("ab", 400), ("abc", 300), ("x", 200), ("abcdefgh", 600)):
+        a, b = ([rng.choice(letters) for _ in range(n + rng.randrange(50))] for _ in range(2))
+        best = [0] * (len(b) + 1)
+        for x in a:
+            row = [0]
+            for j, y in enumerate(b):
+                row.append(best[j] + 1 if x == y else max(best[j + 1], row[j]))
+            best = row
+        found = [a[i] for i in sorted(aligned(a, b))]
+        rest = iter(b)
+        assert len(found) == best[-1] and all(x in rest for x in found)
+    for n in range(200):  # pairs of lines and bits give the same indices
+        a, b = ([rng.choice("abcd"[: n % 4 + 1]) for _ in range(rng.randrange(60))] for _ in range(2))
+        ways = []
+        for often in (0, 1 << 30):
+            monkeypatch.setattr(html_text, "OFTEN", often)
+            ways.append(aligned(a, b))
+        assert ways[0] == ways[1]
+
+
+def test_a_menu_of_repeated_lines_is_deleted_whole():
+    """Rows of a frame that repeat a line in other numbers do not hide the frame that follows."""
+    frame = ["<p>top", *["<p>row<p>" + cell for cell in "uvw"] * 40, "<p>end"]
+    page, other = (parse("<p>row" * n + "".join(frame) + f"<p>the text of {n}") for n in (0, 3))
+    assert main_text(page, [other]) == "the text of 0"
+
+
 def test_extract_pairs_pages_of_a_host(pages):
     rows = [(i, f"http://h.org/a/{i}", f"<p>Top {host}</p><p>text {i}</p>") for i, host in enumerate("hhhh")]
     rows += [(9, "http://z.org/a/1", "<p>Top h</p><p>alone</p>"), (10, None, None), (11, "http://z.org/a/1", "")]
