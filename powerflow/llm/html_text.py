@@ -33,6 +33,7 @@ from powerflow.session import written
 COPY_SHARE = 0.9  # pages that share so many lines of both may be copies
 _KEPT = "host string, digest binary, kept binary"
 OFTEN = 16  # pairs of equal lines, for each line of two pages, above which bits align them
+BLOCK_PLACES = 256  # places compared in one group; two more on either side are read with them
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -335,28 +336,26 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def lines_kept(contents: DataFrame) -> DataFrame:
     """Bits ``kept`` of the lines of each content, by comparison with the two places of its host before it and the two after it.
 
-    A place has one content, of several that with the least digest: they are versions of one page. Places are cut into
-    ranges of (host, path), so a host of any size is spread over tasks; at a range's ends the places of the ranges beside
-    it are looked up, so the cuts do not show.
+    A place has one content, of several that with the least digest: they are versions of one page. Places are sorted in
+    ranges of (host, path) and numbered through, and blocks of numbers compared with the places beside them, so a host of any
+    size is spread over tasks and no cut shows. Lines of the pages near are put beside a page's only after the last shuffle.
     """
     places = contents.groupBy("host", "place").agg(F.min(F.struct("digest", "lines", "shape")).alias("least"), F.count("*").alias("versions"))
     places = places.select("host", "place", "least.*", "versions")
-    ranges = places.repartitionByRange("host", "place").withColumn("range", F.spark_partition_id())
-    ranges = written(ranges, "page-places")
-    within = Window.partitionBy("range").orderBy("host", "place")
-    back = Window.partitionBy("range").orderBy(F.desc("host"), F.desc("place"))
+    ranges = places.repartitionByRange("host", "place").sortWithinPartitions("host", "place")
+    ranges = written(ranges.select("*", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("row")), "page-places")
+    sizes = ranges.groupBy("range").agg(F.min(F.struct("host", "place")).alias("begin"), F.min("row").alias("least_row"), F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("begin").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("rows")
+    # one row of a range, so one task orders them all
+    numbers = written(sizes.select("range", (before - F.col("least_row")).alias("shift")), "page-ranges")
+    numbered = ranges.join(numbers, "range").select(*places.columns, (F.col("row") + F.col("shift")).alias("row"))
+    blocks = [F.floor((F.col("row") + n) / BLOCK_PLACES) for n in (0, -2, 2)]
+    blocks = numbered.select("*", blocks[0].alias("home"), F.explode(F.array_distinct(F.array(*blocks))).alias("block"))
+    within = Window.partitionBy("block").orderBy("row")
     own = F.struct("host", "place", "lines")
-    steps = {"b1": (F.lag, 1), "b2": (F.lag, 2), "a1": (F.lead, 1), "a2": (F.lead, 2)}
-    inner = ranges.select(
-        "range", *places.columns, F.row_number().over(within).alias("first"), F.row_number().over(back).alias("last"),
-        *[move(own, n).over(within).alias(name) for name, (move, n) in steps.items()],
-    )
-    edges = inner.filter("first <= 2 OR last <= 2")  # four rows of a range, so one task orders them all
-    across = Window.orderBy("host", "place")
-    beyond = edges.select("host", "place", *[move(own, n).over(across).alias("over_" + name) for name, (move, n) in steps.items()])
-    joined = fact_join(inner, beyond, ["host", "place"], "left")
-    near = [F.coalesce(name, "over_" + name) for name in ("b1", "a1", "b2", "a2")]
-    near = [F.when(page["host"] == F.col("host"), F.struct(page["place"].alias("place"), page["lines"].alias("lines"))) for page in near]
+    steps = {"b1": (F.lag, 1), "a1": (F.lead, 1), "b2": (F.lag, 2), "a2": (F.lead, 2)}
+    joined = blocks.select("*", *[move(own, n).over(within).alias(name) for name, (move, n) in steps.items()]).filter("block = home")
+    near = [F.when(F.col(f"{name}.host") == F.col("host"), F.struct(f"{name}.place", f"{name}.lines")) for name in steps]
     joined = joined.withColumn("near", F.array(*near))
     wanted = ("host", "digest", "lines", "shape", "place", "near")
     found = joined.select(*wanted)

@@ -299,6 +299,38 @@ def test_neighbours_do_not_depend_on_copies_or_ranges(spark, pages):
             spark.conf.set(name, value)
 
 
+def test_neighbours_are_those_of_the_order_whatever_the_blocks(spark, monkeypatch):
+    """Also in blocks no larger than the reach."""
+    frames = {n: [f"frame {n % 3}", f"text {n}", f"frame {n % 5}", "frame"] for n in range(40)}
+    places = {n: (f"h{n // 9}", f"/a/{n:02d}") for n in frames}
+    rows = []
+    for n, lines in frames.items():
+        shape = b"".join((2 * len(line)).to_bytes(4, "little") for line in lines)
+        rows.append((*places[n], bytes([n]), html_text._hashes(lines), shape))
+    contents = spark.createDataFrame(rows, "host string, place string, digest binary, lines binary, shape binary")
+    wanted = {}
+    for n, lines in frames.items():
+        near = [m for m in (n - 1, n + 1, n - 2, n + 2) if places.get(m, ("",))[0] == places[n][0]]
+        near.sort(key=lambda m: -html_text._common_prefix(places[m][1], places[n][1]))
+        kept = html_text.kept_lines(lines, [len(line) for line in lines], [False] * 4, [frames[m] for m in near])
+        wanted[n] = sum(128 >> i for i in kept)
+    for size in (2, 3, 256):
+        monkeypatch.setattr(html_text, "BLOCK_PLACES", size)
+        assert {r["digest"][0]: r["kept"][0] for r in html_text.lines_kept(contents).collect()} == wanted
+
+
+def test_lines_of_pages_near_are_not_shuffled(spark):
+    """Four pages' lines beside each page's own are five times as much to write."""
+    contents = spark.createDataFrame([("h", f"/{n}", bytes([n]), b"", b"") for n in range(9)], "host string, place string, digest binary, lines binary, shape binary")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of any size
+        plan = html_text.lines_kept(contents)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Window" in plan and "Exchange" not in plan[: plan.index("Window")]
+
+
 def test_archives_round_trip(spark, pages):
     big = "é" * 600
     rows = [
